@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curveloom.llm import decontamination, language, mixing, sharding, simhash, url_filter
+from curveloom.llm import decontamination, embedding_dedup, language, mixing, secrets, sharding, simhash, url_filter, warc
 from curveloom.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
 
 
+def op4_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,14 @@ def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_findings(table(spark, sf_dir, "documents"))
+
+
+def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
@@ -39,9 +51,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_decontaminate,
         op2_url_verdicts,
+        op4_embedding_near_dup,
         op5_language_id,
         op6_rendezvous_shards,
         op7_simhash_components,
+        op8_secret_findings,
+        op9_warc_round_trip,
         op10_mix_sources,
     )
 }
