@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curveloom.llm import decontamination, embedding_dedup, language, mixing, secrets, sharding, simhash, url_filter, warc
+from curveloom.llm import decontamination, embedding_dedup, language, mixing, secrets, sharding, simhash, substring_dedup, url_filter, warc
 from curveloom.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats_digest(table(spark, sf_dir, "documents"))
+
+
 def op4_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_decontaminate,
         op2_url_verdicts,
+        op3_substring_dedup,
         op4_embedding_near_dup,
         op5_language_id,
         op6_rendezvous_shards,
