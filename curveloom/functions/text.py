@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,6 +17,11 @@ def text_of(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with value computed once, however often it stands in the expression."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 def or_null(c: Column) -> Column:
     return F.when(c != "", c)
 
@@ -95,11 +101,8 @@ def positions_from_text(c: Column) -> Column:
 
 def contains_any(c: Column, phrases: Iterable[str]) -> Column:
     """Whether a text normalized for matching holds one of the phrases, normalized too."""
-    normal = normalize_for_matching(c)
-    out = F.lit(False)
-    for phrase in phrases:
-        out = out | normal.contains(_matching(phrase))
-    return out
+    fixed = [_matching(p) for p in phrases]
+    return let(normalize_for_matching(c), lambda n: reduce(Column.__or__, (n.contains(p) for p in fixed), F.lit(False)))
 
 
 def _matching(phrase: str) -> str:
@@ -110,9 +113,8 @@ def _matching(phrase: str) -> str:
 
 def weighted_terms(c: Column, weights: Mapping[str, float], kind: str = "int") -> Column:
     """Sum of the weights of all terms that the normalized text holds; overlapping terms all count."""
-    normal = normalize_text(c)
-    terms = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(w).cast(kind).alias("w")) for t, w in weights.items()])
-    return F.aggregate(terms, F.lit(0).cast(kind), lambda s, x: s + F.when(F.contains(normal, x["t"]), x["w"]).otherwise(F.lit(0).cast(kind)))
+    zero = F.lit(0).cast(kind)
+    return let(normalize_text(c), lambda n: sum((F.when(n.contains(t), F.lit(w).cast(kind)).otherwise(zero) for t, w in weights.items()), zero))
 
 
 def score_material(title: Column, body: Column) -> Column:
@@ -139,14 +141,14 @@ def extract_miller(c: Column) -> Column:
 def score_paragraph(c: Column) -> Column:
     """The diffraction score of a paragraph, rounded to three places."""
     normal = normalize_for_matching(c)
-    score = F.lit(0.0)
-    for term, weight in lx.PARAGRAPH_STRONG.items():
-        score = score + F.when(normal.contains(_matching(term)), weight).otherwise(0.0)
-    for term in lx.PARAGRAPH_ANALYSIS:
-        score = score + F.when(normal.contains(_matching(term)), 0.4).otherwise(0.0)
-    score = score + F.when(text_of(c).rlike(lx.THETA), 2.0).otherwise(0.0)
+    parts = [*((_matching(t), w) for t, w in lx.PARAGRAPH_STRONG.items()), *((_matching(t), 0.4) for t in lx.PARAGRAPH_ANALYSIS)]
+
+    def of_terms(n: Column) -> Column:
+        held = sum((F.when(n.contains(t), w).otherwise(0.0) for t, w in parts), F.lit(0.0))
+        return held + F.when(n.contains("figure") | F.concat(n, F.lit(" ")).contains("fig "), 0.5).otherwise(0.0)
+
+    score = let(normal, of_terms) + F.when(text_of(c).rlike(lx.THETA), 2.0).otherwise(0.0)
     score = score + F.least(F.size(extract_degrees(c)), F.lit(5)) * 0.5 + F.least(F.size(extract_miller(c)), F.lit(5)) * 0.5
-    score = score + F.when(normal.contains("figure") | F.concat(normal, F.lit(" ")).contains("fig "), 0.5).otherwise(0.0)
     return F.when(normal == "", 0.0).otherwise(F.round(score, 3))
 
 
@@ -157,14 +159,12 @@ def caption_keyword_score(caption: Column, strong: Iterable[str], weak: Iterable
 
 
 def classify_section(title: Column) -> Column:
-    normal = normalize_for_matching(title)
-    out = None
-    for kind, phrases in lx.SECTION_KINDS:
-        hit = F.lit(False)
-        for p in phrases:
-            hit = hit | normal.contains(_matching(p))
-        out = F.when(hit, kind) if out is None else out.when(hit, kind)
-    return out.otherwise("other")
+
+    def first(n: Column) -> Column:
+        hits = [F.when(reduce(Column.__or__, (n.contains(_matching(p)) for p in phrases)), kind) for kind, phrases in lx.SECTION_KINDS]
+        return F.coalesce(*hits, F.lit("other"))
+
+    return let(normalize_for_matching(title), first)
 
 
 def split_sentences(c: Column) -> Column:
@@ -265,7 +265,7 @@ def utc_now() -> Column:
 
 def boxes_from_text(c: Column) -> Column:
     """page,x,y,w,h;... as structs; null if a box is malformed or has no area."""
-    parts = F.filter(F.transform(F.split(text_of(c), ";"), F.trim), lambda b: b != "")
+    parts = F.filter(F.transform(F.split(text_of(c), ";"), lambda b: F.trim(b)), lambda b: b != "")
     fields = F.transform(parts, lambda b: F.split(b, ","))
     boxes = F.transform(
         fields,
