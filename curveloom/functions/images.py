@@ -381,16 +381,18 @@ def panels(img: np.ndarray) -> list[tuple[int, int]]:
 
 
 def frame_lines(g: np.ndarray) -> tuple[int | None, ...]:
-    """left, top, right, bottom of the longest lines near the margins, None where there is none."""
+    """left, top, right, bottom of the outermost long lines near the margins, None where there is none."""
     rows, cols = g.shape
     e = edges(g, 40, 120)
     v, h = closed(e, max(15, rows // 20), 1).sum(0), closed(e, 1, max(15, cols // 20)).sum(1)
 
-    def best(s: np.ndarray, shift: int = 0):
-        return shift + int(np.argmax(s)) if len(s) and s.max() > 0 else None
+    def outermost(s: np.ndarray, shift: int = 0):
+        """The outermost line that is nearly as long as the longest."""
+        long = np.flatnonzero(s >= 0.95 * s.max(initial=0)) if s.max(initial=0) > 0 else []
+        return None if not len(long) else shift + int(long[-1] if shift else long[0])
 
     x, y = int(cols * 0.65), int(rows * 0.65)
-    return best(v[: int(cols * 0.35)]), best(h[: int(rows * 0.35)]), best(v[x:], x), best(h[y:], y)
+    return outermost(v[: int(cols * 0.35)]), outermost(h[: int(rows * 0.35)]), outermost(v[x:], x), outermost(h[y:], y)
 
 
 def margin_box(rows: int, cols: int) -> tuple[int, int, int, int]:
@@ -588,7 +590,8 @@ def draw_curves(curves: list[tuple[np.ndarray, np.ndarray]], size: tuple[int, in
         palette = ((200, 80, 20), (40, 40, 210), (60, 160, 40), (160, 40, 150))
         for k, (x, y) in enumerate(known):
             at = np.linspace(lo, hi, right - left - 3)
-            row = bottom - 2 - np.interp(at, x, np.maximum(y, 0)) / high * (bottom - top - 6)
+            room = int((bottom - top) * 0.08)
+            row = bottom - room - np.interp(at, x, np.maximum(y, 0)) / high * (bottom - top - room - 6)
             for c, (a, b) in enumerate(zip(row[:-1], row[1:])):
                 if x.min() <= at[c] <= x.max():
                     img[int(min(a, b)) : int(max(a, b)) + 2, left + 2 + c] = palette[k % 4]

@@ -156,7 +156,7 @@ def read_tree(doc_id: str, data: bytes) -> dict:
     try:
         tree = Tree(data)
     except ET.ParseError as e:
-        return {"doc_id": doc_id, "error": str(e)}
+        return dict.fromkeys(RAW.names) | {"doc_id": doc_id, "error": str(e)}
     sections, paragraphs = tree.body()
     figures, tables = tree.figures()
     return {"doc_id": doc_id, "error": None, "meta": tree.meta(), "sections": sections, "paragraphs": paragraphs, "figures": figures, "tables": tables, "bibliography": tree.bibliography()}
