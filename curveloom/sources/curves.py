@@ -102,13 +102,11 @@ def pending(files: DataFrame, done: DataFrame, key: str = "stem") -> DataFrame:
 
 
 def as_g(c: Column) -> Column:
-    """A number with six significant digits, without trailing zeros; very large and small ones with an exponent."""
-    e = F.floor(F.log10(F.abs(c)))
-    plain = F.regexp_replace(F.format_string("%.6f", F.round(c * F.pow(F.lit(10.0), 5 - e)) / F.pow(F.lit(10.0), 5 - e)), r"\.?0+$", "")
-    digits = F.format_string("%.5e", c)
-    short = F.regexp_replace(digits, r"\.?0*e", "e")
-    fixed = F.when(e >= 0, plain).otherwise(F.regexp_replace(F.format_string("%.10f", F.round(c * F.pow(F.lit(10.0), 5 - e)) / F.pow(F.lit(10.0), 5 - e)), r"\.?0+$", ""))
-    return F.when(c == 0, F.lit("0")).when((e < -4) | (e >= 6), short).otherwise(fixed)
+    """A number with six significant digits, halves up, without trailing zeros; very large and small ones with an exponent."""
+    rounded = F.format_string("%.5e", c.cast("double"))
+    e = F.substring_index(rounded, "e", -1).try_cast("int")
+    plain = F.regexp_replace(rounded.try_cast("double").try_cast("decimal(38,12)").cast("string"), r"\.?0+$", "")
+    return F.when(c == 0, F.lit("0")).when((e < -4) | (e >= 6), F.regexp_replace(rounded, r"\.?0*e", "e")).otherwise(plain)
 
 
 def write_xy(points: DataFrame, path: str, curve: str = "curve") -> None:

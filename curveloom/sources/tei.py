@@ -11,7 +11,6 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from curveloom.functions import text as X
 from curveloom.functions.lexicon import CAPTION_SCORE, DOI
@@ -19,15 +18,15 @@ from curveloom.functions.lexicon import CAPTION_SCORE, DOI
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 AUTHOR = "struct<given:string,middle:string,surname:string,email:string,affiliation:string,orcid:string>"
-RAW = T._parse_datatype_string(
-    f"""doc_id string, error string,
+RAW = f"""doc_id string, error string,
     meta struct<title:string,doi:string,header:string,abstract:string,journal:string,publication_date:string,keywords:array<string>,authors:array<{AUTHOR}>>,
     sections array<struct<ordinal:int,parent:int,xml_id:string,title:string,path:array<string>,sibling:int>>,
     paragraphs array<struct<ordinal:int,section:int,nth:int,xml_id:string,text:string>>,
     figures array<struct<ordinal:int,xml_id:string,label:string,caption:string,targets:array<string>,coords:string,graphic_coords:string,type:string>>,
     tables array<struct<ordinal:int,xml_id:string,label:string,caption:string,text:string>>,
     bibliography array<struct<ordinal:int,xml_id:string,title:string,doi:string,year:string,authors:array<string>,raw_text:string>>"""
-)
+RAW_NAMES = ["doc_id", "error", "meta", "sections", "paragraphs", "figures", "tables", "bibliography"]
+META_NAMES = ("title", "doi", "header", "abstract", "journal", "publication_date", "keywords", "authors")
 XML_ID = "{http://www.w3.org/XML/1998/namespace}id"
 
 
@@ -80,7 +79,7 @@ class Tree:
     def meta(self) -> dict:
         head = self.root.find(".//teiHeader")
         if head is None:
-            return dict.fromkeys(RAW["meta"].dataType.names)
+            return dict.fromkeys(META_NAMES)
         when = head.find(".//publicationStmt/date[@when]")
         authors = [self.author(a) for a in head.findall("./fileDesc/sourceDesc//author")]
         return {
@@ -156,7 +155,7 @@ def read_tree(doc_id: str, data: bytes) -> dict:
     try:
         tree = Tree(data)
     except ET.ParseError as e:
-        return dict.fromkeys(RAW.names) | {"doc_id": doc_id, "error": str(e)}
+        return dict.fromkeys(RAW_NAMES) | {"doc_id": doc_id, "error": str(e)}
     sections, paragraphs = tree.body()
     figures, tables = tree.figures()
     return {"doc_id": doc_id, "error": None, "meta": tree.meta(), "sections": sections, "paragraphs": paragraphs, "figures": figures, "tables": tables, "bibliography": tree.bibliography()}
@@ -168,7 +167,7 @@ def parse(articles: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = [read_tree(i, bytes(c) if c is not None else b"") for i, c in zip(pdf["doc_id"], pdf["content"])]
-            yield pd.DataFrame(rows, columns=RAW.names)
+            yield pd.DataFrame(rows, columns=RAW_NAMES)
 
     return articles.select(F.col("doc_id").cast("string"), F.col("content").cast("binary")).mapInPandas(run, RAW)
 
