@@ -76,7 +76,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Documents link if their fingerprints differ in at most 2 bits; component_id is the smallest doc_id reachable. Equal
     fingerprints are one node, so copies cost nothing past the fingerprint. Null ids take part with their fingerprint but name
-    no component unless all ids of it are null; repeated rows stay repeated; an empty table gives no rows.
+    no component unless all ids of it are null; repeated rows stay repeated, and rows that share an id with other texts are
+    documents of their own; an empty table gives no rows.
     """
     ws = Workspace(docs.sparkSession, "simhash")
     marked = ws.stage(fingerprints(docs), "fingerprints")

@@ -319,6 +319,6 @@ def remove_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
     return out
 
 
-def repeats_digest(docs: DataFrame) -> DataFrame:
+def repeats_digest(docs: DataFrame, batches: int = 2) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256."""
-    return remove_repeats(docs).drop("kept")
+    return remove_repeats(docs, batches).drop("kept")
