@@ -35,11 +35,24 @@ def shared_base(spark: SparkSession) -> str:
 _own: str | None = None
 
 
+#: Bytes of a batch that goes to a Python worker. Spark's own bound of 64 MB is held several times over by each task.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's bound on Arrow batches to BATCH_BYTES, so that long texts don't fill the executors' memory."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if now > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 class Workspace:
     """Tables written under the shared folder, which cut lineage and survive the loss of executors."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
+        bound_batches(spark)
         self.root = f"{shared_base(spark)}/curveloom/{name}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:

@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curveloom.llm.common import n_words
+from curveloom.llm.common import bound_batches, n_words
 from curveloom.llm.wordhash import WordHasher, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -114,6 +114,7 @@ def _texts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.
 
 def _indexes(benchmark: DataFrame) -> Iterator:
     """Broadcast indexes that hold all items between them, each of at most about INDEX_WORDS words."""
+    bound_batches(benchmark.sparkSession)
     sized = benchmark.select("item_id", "text", n_words(F.col("text")).alias("n"))
     total = sized.agg(F.sum("n")).first()[0] or 0
     passes = -(-total // INDEX_WORDS) or 1
