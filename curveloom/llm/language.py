@@ -18,7 +18,6 @@ from curveloom.llm.common import Workspace
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 4
 #: The model holds at most this many words and as many n-grams of each length over all languages; rarer ones back off.
 MODEL_WORDS, MODEL_GRAMS = 200_000, 50_000
@@ -28,14 +27,12 @@ LANGUAGES = 256
 STEPS = 8
 #: Characters that a word may have; longer runs of letters are cut into words of this length.
 WIDEST = 40
+LETTERS = re.compile(rf"[^\W\d_]{{1,{WIDEST}}}")
 
 
 def words_of(text: str) -> list[str]:
     """Lower-cased runs of letters, the long ones in pieces."""
-    found = LETTERS.findall(text.lower())
-    if any(len(w) > WIDEST for w in found):
-        found = [w[i : i + WIDEST] for w in found for i in range(0, len(w), WIDEST)]
-    return found
+    return LETTERS.findall(text.lower())
 
 
 def count_words(train: DataFrame) -> DataFrame:
@@ -84,6 +81,7 @@ class Model:
 
     def __init__(self, languages: list[str], words: list, totals: dict[str, int], grams: list, gram_totals: dict):
         self.languages = sorted(languages)
+        self._predictor = None
         self.words = self._table([(w, lang, n) for lang, w, n in words], totals)
         self.grams = [
             self._table([(g, lang, n) for lang, g, n in grams if len(g) == k], {lang: gram_totals.get((lang, k), 0) for lang in languages})
@@ -99,6 +97,12 @@ class Model:
         whole = np.array([totals.get(lang, 0) for lang in self.languages]) + 0.5 * len(counts) + 1
         return {k: np.log((c + 0.5) / whole).astype(np.float32) for k, c in counts.items()}
 
+    def predictor(self) -> Predictor:
+        """One predictor for all tasks of a worker, so that rows worked out once stay."""
+        if self._predictor is None:
+            self._predictor = Predictor(self)
+        return self._predictor
+
     def backoff(self, gram: str) -> np.ndarray:
         """The log frequencies of the n-gram, or the mean of its two shorter ones; an unknown character says nothing."""
         if (v := self.grams[len(gram) - 1].get(gram)) is not None:
@@ -107,30 +111,36 @@ class Model:
             return np.zeros(len(self.languages), np.float32)
         return (self.backoff(gram[:-1]) + self.backoff(gram[1:])) / 2
 
-    def unseen(self, word: str) -> np.ndarray:
-        marked = f"^{word}$"
-        k = min(LONGEST, len(marked))
-        return np.mean([self.backoff(marked[i : i + k]) for i in range(len(marked) - k + 1)], axis=0)
-
 
 class Predictor:
-    """Predicts with a model; rows of words not in it are kept up to a bound."""
+    """Predicts with a model; rows of words and n-grams not in it are kept up to a bound."""
 
     def __init__(self, model: Model, room: int = 200_000):
+        self.grams: dict[str, int] = {}
+        self.gram_rows = np.zeros((room, len(model.languages)), np.float32)
         self.model = model
         self.known = {w: i for i, w in enumerate(model.words)}
         self.rows = np.zeros((len(self.known) + room, len(model.languages)), np.float32)
         if self.known:
             self.rows[: len(self.known)] = list(model.words.values())
-        self.extra: dict[str, int] = {}
-        self.next = len(self.known)
+        self.at = dict(self.known)
+
+    def gram(self, gram: str) -> int:
+        """The place of an n-gram's row, which is worked out once."""
+        i = self.grams[gram] = len(self.grams)
+        self.gram_rows[i] = self.model.backoff(gram)
+        return i
 
     def place(self, word: str) -> int:
-        i = self.extra.get(word)
-        if i is None:
-            i, self.next = self.next, self.next + 1
-            self.rows[i] = self.model.unseen(word)
-            self.extra[word] = i
+        """The place of a new word's row, the mean of its longest n-grams' rows."""
+        i = self.at[word] = len(self.at)
+        marked = f"^{word}$"
+        k = min(LONGEST, len(marked))
+        if len(self.grams) + WIDEST + 2 > len(self.gram_rows):
+            self.grams.clear()
+        grams = [marked[j : j + k] for j in range(len(marked) - k + 1)]
+        rows = self.gram_rows[[n if (n := self.grams.get(g)) is not None else self.gram(g) for g in grams]]
+        self.rows[i] = np.add.reduce(rows, 0) / len(grams)
         return i
 
     def __call__(self, text: str | None) -> tuple[str, float]:
@@ -139,10 +149,9 @@ class Predictor:
             return "und", 0.0
         total = np.zeros(len(self.model.languages))
         for at in range(0, len(words), 50_000):
-            if self.next + 50_000 > len(self.rows):
-                self.extra.clear()
-                self.next = len(self.known)
-            get = self.known.get
+            if len(self.at) + 50_000 > len(self.rows):
+                self.at = dict(self.known)
+            get = self.at.get
             part = [i if (i := get(w)) is not None else self.place(w) for w in words[at : at + 50_000]]
             total += self.rows[part].sum(0, dtype=np.float64)
         mean = total / len(words)
@@ -190,7 +199,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        guess = Predictor(shared.value)
+        guess = shared.value.predictor()
         for batch in batches:
             found = [guess(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -215,7 +224,7 @@ def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        guess = Predictor(shared.value)
+        guess = shared.value.predictor()
         for batch in batches:
             found = [guess(t) for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array([lang != "und" and score >= least for lang, score in found], pa.bool_()))
