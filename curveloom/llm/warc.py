@@ -63,6 +63,28 @@ def record(page_id, nth: int, url: str | None, body: bytes, refers_to) -> bytes:
     return gzip.compress(whole, 6, mtime=0)
 
 
+def packed(pages: DataFrame) -> DataFrame:
+    """page_id, url, sha, n, body: payloads compressed for the way to their writers, where they are most of what is moved."""
+    kind = dict(pages.dtypes)["page_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bodies = [b or b"" for b in batch.column(2).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([hashlib.sha1(b).hexdigest() for b in bodies], pa.string()),
+                    pa.array([len(b) for b in bodies], pa.int64()),
+                    pa.array([pa.compress(b, codec="zstd", asbytes=True) for b in bodies], pa.binary()),
+                ],
+                ["page_id", "url", "sha", "n", "body"],
+            )
+
+    rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    return rows.mapInArrow(run, f"page_id {kind}, url string, sha string, n bigint, body binary")
+
+
 def plan(ws: Workspace, pages: DataFrame, least: int = LEAST_REVISIT, records: int = RANGE_RECORDS) -> DataFrame:
     """(page_id, sha, range, refers_to) of each page id and payload: ranges of whole page ids in order, null last, `records` long or a little more."""
     body = payload(F.col("html"))
@@ -90,9 +112,8 @@ def write_warc(pages: DataFrame, out: str, *, roll: int = ROLL_BYTES, least: int
     spark = pages.sparkSession
     ws = Workspace(spark, "warc-plan")
     chosen = plan(ws, pages, least, records)
-    rows = pages.select("page_id", F.col("url").cast("string").alias("url"), payload(F.col("html")).alias("body")).withColumn("sha", F.sha1("body"))
-    rows = rows.join(chosen, F.col("page_id").eqNullSafe(F.col("__id")) & (F.col("sha") == F.col("__sha")))
-    rows = rows.select("range", "page_id", "refers_to", "url", "body", "sha")
+    rows = packed(pages).join(chosen, F.col("page_id").eqNullSafe(F.col("__id")) & (F.col("sha") == F.col("__sha")))
+    rows = rows.select("range", "page_id", "refers_to", "url", "body", "n", "sha")
     rows = rows.repartition(partitions(spark), "range").sortWithinPartitions("range", F.col("page_id").asc_nulls_last(), "sha", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +131,8 @@ def write_warc(pages: DataFrame, out: str, *, roll: int = ROLL_BYTES, least: int
 
         for batch in batches:
             for i in range(batch.num_rows):
-                at, page, refers, url, body = (batch.column(k)[i].as_py() for k in range(5))
+                at, page, refers, url, body, size = (batch.column(k)[i].as_py() for k in range(6))
+                body = pa.decompress(body, size, codec="zstd", asbytes=True)
                 if at != now:
                     close()
                     now, seq, last = at, 0, object()
