@@ -83,8 +83,22 @@ def with_keys(vectors: DataFrame, passes: int) -> DataFrame:
     return vectors.select("id", "label", "v").mapInArrow(run, f"pass int, label {kinds['label']}, dim int, key bigint, id {kinds['id']}, v {kinds['v']}")
 
 
-def near_pairs(ws: Workspace, vectors: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW) -> DataFrame:
-    """Distinct (a, b) of vectors(id, label, v) that a pass brings within `window` and whose cosine reaches the threshold.
+def lowest_of_linked(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of n places the lowest that it reaches through the links i-j."""
+    low = np.arange(n)
+    while True:
+        new = low.copy()
+        np.minimum.at(new, i, low[j])
+        np.minimum.at(new, j, low[i])
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new
+
+
+def near_edges(ws: Workspace, vectors: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW) -> DataFrame:
+    """Distinct (u, v) that join what vectors(id, label, v) links: pairs that a pass brings within `window` and whose cosine
+    reaches the threshold. A block's verified pairs are united at once, so that a group of copies gives an edge for each member.
 
     All passes are sorted at once: vectors get a global rank by (pass, label, dimension, key, id) and are dealt into blocks of
     equal size by it, each with the first `window` vectors of the next block, so that no label or key fills a task.
@@ -100,25 +114,24 @@ def near_pairs(ws: Workspace, vectors: DataFrame, threshold: float = THRESHOLD,
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rank", kind="stable")
         first = int((pdf["rank"].to_numpy() // BLOCK == pdf["block"].to_numpy()).sum())
-        found_a, found_b = [], []
+        found_u, found_v = [], []
         ids = pdf["id"].to_numpy()
         for _, at in pdf.reset_index(drop=True).groupby(["pass", "label", "dim"], sort=False).indices.items():
             x = unit(np.stack(pdf["v"].to_numpy()[at]))
-            n = len(at)
+            n, pairs = len(at), []
             for lo in range(0, n, 256):  # a band of the product, not the whole
                 hi = min(n, lo + 256)
-                s = x[lo:hi] @ x[lo : min(n, hi + window)].T
-                i, j = np.nonzero(s >= threshold - 1e-9)
-                near = (j > i) & (j - i <= window)
-                i, j = at[lo + i[near]], at[lo + j[near]]
-                mine = i < first
-                found_a.append(ids[i[mine]])
-                found_b.append(ids[j[mine]])
-        a = np.concatenate(found_a) if found_a else ids[:0]
-        b = np.concatenate(found_b) if found_b else ids[:0]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+                i, j = np.nonzero(x[lo:hi] @ x[lo : min(n, hi + window)].T >= threshold)
+                near = (j > i) & (j - i <= window) & (at[lo + i] < first)
+                pairs.append(np.stack((lo + i[near], lo + j[near])))
+            low = lowest_of_linked(n, *np.concatenate(pairs, 1))
+            moved = np.flatnonzero(low != np.arange(n))
+            found_u.append(ids[at[moved]])
+            found_v.append(ids[at[low[moved]]])
+        u = np.concatenate(found_u) if found_u else ids[:0]
+        return pd.DataFrame({"u": u, "v": np.concatenate(found_v) if found_v else ids[:0]})
 
-    return dealt.groupBy("block").applyInPandas(run, f"a {kind}, b {kind}").distinct()
+    return dealt.groupBy("block").applyInPandas(run, f"u {kind}, v {kind}").distinct()
 
 
 def count_links(ws: Workspace, members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -147,7 +160,8 @@ def count_links(ws: Workspace, members: DataFrame, threshold: float = THRESHOLD)
                 links[right] += w[i] @ near
         return pd.DataFrame({"id": pdf["id"], "links": links})
 
-    counted = dealt.groupBy("component", "p", "q").applyInPandas(run, f"id {kind}, links bigint")
+    # Dealt out by tile pairs on purpose: the join's partitioning by component would do, with a whole component in a task.
+    counted = dealt.repartition(F.col("component"), F.col("p"), F.col("q")).groupBy("component", "p", "q").applyInPandas(run, f"id {kind}, links bigint")
     return counted.groupBy("id").agg(F.sum("links").alias("links"))
 
 
@@ -164,8 +178,7 @@ def near_duplicate_vectors(rows: DataFrame, threshold: float = THRESHOLD) -> Dat
     all_rows = rows.select("vec_id", "label", "embedding", fine.alias("__fine"))
     nodes = all_rows.where("__fine").groupBy("label", F.col("embedding").alias("v")).agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"))
     nodes = ws.stage(nodes, "nodes")
-    pairs = ws.stage(near_pairs(ws, nodes, threshold), "pairs")
-    parts = ws.stage(connected_components(ws, pairs.select(F.col("b").alias("u"), F.col("a").alias("v"))), "parts")
+    parts = ws.stage(connected_components(ws, near_edges(ws, nodes, threshold)), "parts")
     members = nodes.join(parts, F.col("id") == F.col("node")).select("id", "component", "weight", "v")
     links = ws.stage(count_links(ws, members, threshold), "links")
     about = (
