@@ -24,7 +24,7 @@ def let(value: Column, use) -> Column:
 
 
 def or_null(c: Column) -> Column:
-    return F.when(c != "", c)
+    return F.nullif(c, F.lit(""))
 
 
 def strip(c: Column) -> Column:
@@ -242,9 +242,12 @@ def valid_http_url(c: Column) -> Column:
 
 def display_title(c: Column, longest: int = 80) -> Column:
     """At most `longest` characters, the last three dots if cut; `Unknown title` if empty."""
-    normal = normalize_whitespace(c)
-    cut = F.concat(F.rtrim(F.left(normal, F.lit(longest - 3))), F.lit("..."))
-    return F.when(normal == "", "Unknown title").when(F.length(normal) > longest, cut).otherwise(normal)
+
+    def shown(n: Column) -> Column:
+        cut = F.concat(F.rtrim(F.left(n, F.lit(longest - 3))), F.lit("..."))
+        return F.when(n == "", "Unknown title").when(F.length(n) > longest, cut).otherwise(n)
+
+    return let(normalize_whitespace(c), shown)
 
 
 def pattern_index(stem: Column) -> Column:
