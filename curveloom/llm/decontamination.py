@@ -16,9 +16,15 @@ from curveloom.llm.wordhash import WordHasher, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Fixed masks: words under 0 are ignored. Items too short for them are sought by their first SHORT words.
-MASKS = ("111010111", "110111011", "1111111", "101101111")
-SHORT = 5
+#: Fixed masks by the fewest words of an item that they are for: words under 0 are ignored. Every placing of the substitutions
+#: that SIMILARITY allows in so few words leaves one of the masks a place, and so in more words, up to the next masks' items.
+MASKS = {
+    5: ("1111", "11101", "11011", "10111"),
+    7: ("11111", "111011", "110111"),
+    10: ("1111011", "11001111", "110110011", "11110101", "10101111"),
+    13: ("1111111", "11110111", "11101111", "1110100111"),
+}
+SHORT = min(MASKS)
 #: A leak is this many words of an item (all, if it has fewer) of which at least SIMILARITY agree in place.
 OVERLAP, SIMILARITY = 13, 0.8
 #: Words of benchmark items that one broadcast index holds (about 100 MB in a worker); more items make more passes.
@@ -38,17 +44,15 @@ class SeedIndex:
             if len(w) >= SHORT:
                 self.ids.append(i)
                 self.words.append(w)
-        short = "1" * SHORT
-        longest = max(len(m) for m in MASKS)
         self.tables = []
-        for mask in (*MASKS, short):
+        for least, mask in ((n, m) for n, masks in MASKS.items() for m in masks):
             keys, item, place = [], [], []
             for k, w in enumerate(self.words):
-                if (len(w) < longest) == (mask is short) and len(w) >= len(mask):
+                if least == max(n for n in MASKS if n <= len(w)):
                     h = self.seeds(w, mask)
                     keys.append(h)
-                    item.append(np.full(len(h), k))
-                    place.append(np.arange(len(h)))
+                    item.append(np.full(len(h), k, np.int32))
+                    place.append(np.arange(len(h), dtype=np.int32))
             if keys:
                 keys, item, place = map(np.concatenate, (keys, item, place))
                 order = np.argsort(keys, kind="stable")
@@ -62,8 +66,8 @@ class SeedIndex:
         h = np.zeros(max(n, 0), np.uint64)
         for i, c in enumerate(mask):
             if c == "1" and n > 0:
-                h = mix(h + words[i : i + n] * np.uint64(2 * i + 3))
-        return h
+                h += words[i : i + n] * np.uint64(2 * i + 3)
+        return mix(h)
 
     def search(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int, int]]:
         """(text, item, seed hits, words compared, words equal, first word of the text's overlap) of the best overlap per pair."""
