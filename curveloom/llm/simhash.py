@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -40,53 +41,61 @@ def fingerprint(text: bytes | None, width: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * bits > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp bigint) of every row of docs; null and empty texts have fingerprint 0."""
+def fingerprints(docs: DataFrame, width: int = SHINGLE, keep: str | None = None) -> DataFrame:
+    """(doc_id, fp bigint) of every row of docs, with the column `keep` if one is named; null and empty texts have fingerprint 0."""
+    kinds = dict(docs.dtypes)
+    more = [keep] if keep else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(t, width) for t in batch.column(1).cast(pa.binary()).to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], ["doc_id", "fp", *more])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp bigint")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), *more)
+    return rows.mapInArrow(run, ", ".join([f"doc_id {kinds['doc_id']}", "fp bigint", *(f"{c} {kinds[c]}" for c in more)]))
 
 
 def ball_edges(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Verified edges (u, v) between the representatives of distinct(fp, rep) whose fingerprints differ in at most radius bits.
+    """Verified edges (u, v) between the nodes of distinct(fp, node) whose fingerprints differ in at most radius bits.
 
-    Every fingerprint emits all variants within half the radius; two fingerprints within the radius share one. A variant's
-    fingerprints all lie in its ball, so a group never holds more than 65 of them at radius 2, whatever the data; each is tied
-    to the group's smallest, which keeps all components without emitting all pairs of a group.
+    Every fingerprint emits all variants within half the radius, which is even; two fingerprints within the radius share one.
+    A variant's fingerprints all lie in its ball, so a group never holds more than 65 of them at radius 2 (2,081 at 4), whatever
+    the data, and any two of a group are within the radius: each is tied to the group's smallest node, which keeps all components
+    without emitting all pairs of a group.
     """
-    if radius not in (2, 3):
-        raise ValueError("balls of half the radius are built for 2 and 3")
-    flips = F.array(F.lit(0).cast("bigint"), *[F.lit(np.uint64(1 << b).astype(np.int64).item()) for b in range(64)])
-    variants = distinct.select("fp", "rep", F.explode(F.transform(flips, lambda m: m.bitwiseXOR(F.col("fp")))).alias("variant"))
-    least = F.min(F.struct("rep", "fp")).over(W.partitionBy("variant"))
-    pairs = variants.withColumn("least", least).where(F.col("rep") != F.col("least.rep"))
+    if radius < 2 or radius % 2:
+        raise ValueError("the radius has to be even, so that two balls of half of it meet")
+    masks = [sum(1 << b for b in bits) for k in range(radius // 2 + 1) for bits in combinations(range(64), k)]
+    flips = F.array(*[F.lit(np.uint64(m).astype(np.int64).item()) for m in masks])
+    variants = distinct.select("fp", "node", F.explode(F.transform(flips, lambda m: m.bitwiseXOR(F.col("fp")))).alias("variant"))
+    least = F.min(F.struct("node", "fp")).over(W.partitionBy("variant"))
+    pairs = variants.withColumn("least", least).where(F.col("node") != F.col("least.node"))
     return (
         pairs.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("least.fp"))) <= radius)
-        .select(F.col("rep").alias("u"), F.col("least.rep").alias("v"))
+        .select(F.col("node").alias("u"), F.col("least.node").alias("v"))
         .distinct()
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def _classes(ws: Workspace, marked: DataFrame, radius: int) -> DataFrame:
+    """__fp, lead (doc_id, fp), of every fingerprint of marked(doc_id, fp): the class's smallest doc_id and the smallest
+    fingerprint of that id. A node is a fingerprint with its smallest doc_id, so that two of one id stay two nodes."""
+    distinct = ws.stage(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct").select("fp", F.struct(F.col("rep").alias("doc_id"), "fp").alias("node"))
+    parts = connected_components(ws, ball_edges(distinct.where("node.doc_id is not null"), radius)).withColumnRenamed("node", "__node")
+    return distinct.join(parts, F.col("node") == F.col("__node"), "left").select(F.col("fp").alias("__fp"), F.coalesce("component", "node").alias("lead"))
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, fp (bigint bits), component_id of every row of docs.
 
-    Documents link if their fingerprints differ in at most 2 bits; component_id is the smallest doc_id reachable. Equal
+    Documents link if their fingerprints differ in at most `radius` bits; component_id is the smallest doc_id reachable. Equal
     fingerprints are one node, so copies cost nothing past the fingerprint. Null ids take part with their fingerprint but name
     no component unless all ids of it are null; repeated rows stay repeated, and rows that share an id with other texts are
-    documents of their own; an empty table gives no rows.
+    documents of their own; null and empty texts have fingerprint 0; an empty table gives no rows.
     """
     ws = Workspace(docs.sparkSession, "simhash")
     marked = ws.stage(fingerprints(docs), "fingerprints")
-    # Ids of nodes are the smallest doc_ids; a fingerprint that only null ids have stands for itself and links with nothing.
-    distinct = ws.stage(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
-    parts = connected_components(ws, ball_edges(distinct.where("rep is not null")))
-    labels = distinct.join(parts, F.col("rep") == F.col("node"), "left").select(
-        F.col("fp").alias("__fp"), F.coalesce("component", "rep").alias("component_id")
-    )
+    labels = _classes(ws, marked, radius).select("__fp", F.col("lead.doc_id").alias("component_id"))
     return marked.join(labels, F.col("fp") == F.col("__fp")).select("doc_id", "fp", "component_id")
 
 
@@ -95,14 +104,19 @@ def near_duplicate_digest(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """docs without the near-duplicates: the row of the smallest doc_id of each component stays (one, if its rows repeat).
+def keep_one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """docs without the near-duplicates: of each component one row of the smallest doc_id stays.
 
-    Rows whose id is null are kept, since no component can be told for them.
+    Rows that share a doc_id with unlike texts are documents of their own and stay each; of the rows of one id and fingerprint
+    the one with the smallest hash of its text stays. Rows whose id is null are kept, since no component can be told for them.
     """
     ws = Workspace(docs.sparkSession, "simhash")
-    found = ws.stage(near_duplicates(docs), "components")
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    row = docs.select(F.struct("*").alias("__row"), F.col("doc_id").alias("__id"))
-    once = row.where("__id is not null").join(keep, F.col("__id") == F.col("__keep"), "left_semi").dropDuplicates(["__id"])
+    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    pairs = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text"), text_hash.alias("hash"))
+    marked = ws.stage(fingerprints(pairs, keep="hash"), "fingerprints")
+    leads = _classes(ws, marked.select("doc_id", "fp"), radius).select("__fp", "lead")
+    first = marked.join(leads, (F.col("fp") == F.col("__fp")) & (F.struct("doc_id", "fp") == F.col("lead"))).groupBy("doc_id", "fp").agg(F.min("hash").alias("__of"))
+    first = ws.stage(first.select(F.col("doc_id").alias("__keep"), "__of").distinct(), "keep")
+    row = docs.select(F.struct("*").alias("__row"), F.col("doc_id").alias("__id"), text_hash.alias("__hash"))
+    once = row.join(first, (F.col("__id") == F.col("__keep")) & (F.col("__hash") == F.col("__of")), "left_semi").dropDuplicates(["__id", "__hash"])
     return once.unionByName(row.where("__id is null")).select(*[F.col("__row")[n].alias(n) for n in docs.columns])
