@@ -45,15 +45,37 @@ def node(url: Column) -> Column:
     return F.concat(host(url), F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest)))
 
 
+def decoded(href: Column) -> Column:
+    """href with the references to `&` that addresses are written with in markup replaced."""
+    return F.regexp_replace(href, "(?i)&(?:amp|#38|#x26);", "&")
+
+
+def _resolve(parts: Column) -> Column:
+    """The parts of a path, with `.` and `..` resolved; a last one of these leaves an empty part, i.e. a folder."""
+    steps = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda done, p: F.when(p == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).when(p == ".", done).otherwise(F.concat(done, F.array(p))),
+    )
+    return F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(steps, F.array(F.lit("")))).otherwise(steps)
+
+
 def absolute(href: Column, base: Column) -> Column:
-    """href as seen from the page at base."""
+    """href as seen from the page at base: `?query` and `#fragment` keep the page's path, and `.` and `..` are resolved."""
     root = F.concat(F.lit("http://"), host(base))
-    folder = F.regexp_replace(path(base), "[^/]*$", "")
+    here = F.when(path(base) == "", F.lit("/")).otherwise(path(base))
+    folder = F.regexp_replace(here, "[^/]*$", "")
+    own = F.regexp_extract(href, "^([^?#]*)", 1)
+    rest = F.regexp_extract(href, "^[^?#]*(.*)$", 1)
+    full = F.when(own.startswith("/"), own).otherwise(F.concat(folder, own))
+    clean = F.concat(F.lit("/"), F.array_join(_resolve(F.split(F.substr(full, F.lit(2)), "/")), "/"))
+    query = F.regexp_extract(_after(base), r"^[^/?#]*[^?#]*(\?[^#]*)?", 1)
     return (
-        F.when(F.locate("://", href) > 0, href)
+        F.when(F.locate("://", own) > 0, href)
         .when(href.startswith("//"), F.concat(F.lit("http:"), href))
-        .when(href.startswith("/"), F.concat(root, href))
-        .otherwise(F.concat(root, F.when(folder == "", F.lit("/")).otherwise(folder), href))
+        .when((own == "") & ~rest.startswith("?"), F.concat(root, here, query, rest))
+        .when(own == "", F.concat(root, here, rest))
+        .otherwise(F.concat(root, clean, rest))
     )
 
 
@@ -86,9 +108,14 @@ def apply_rules(rows: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataF
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst) addresses of all canonical links and meta redirects of pages(url, html), each resolved against its page."""
-    links = F.concat(*[F.coalesce(F.regexp_extract_all("html", F.lit(p), F.lit(1)), F.array().cast("array<string>")) for p in (CANONICAL, REFRESH)])
-    return pages.select("url", F.explode(links).alias("href")).select(F.col("url").alias("src"), absolute(F.col("href"), F.col("url")).alias("dst"))
+    """(src, dst) addresses of all canonical links and meta redirects of pages(url, html), each resolved against its page.
+
+    Comments, scripts, styles and text areas are passed over."""
+    live = F.regexp_replace(F.regexp_replace("html", "(?s)<!--.*?(?:-->|$)", " "), r"(?is)<(script|style|textarea)\b.*?(?:</\1\s*>|$)", " ")
+    some = F.when(F.col("html").rlike(r"(?i)<(?:link|meta)\b"), live)
+    links = F.concat(*[F.coalesce(F.regexp_extract_all(some, F.lit(p), F.lit(1)), F.array().cast("array<string>")) for p in (CANONICAL, REFRESH)])
+    hrefs = pages.select("url", F.explode(links).alias("href")).where("url is not null")
+    return hrefs.select(F.col("url").alias("src"), absolute(decoded(F.col("href")), F.col("url")).alias("dst"))
 
 
 def url_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, edges: DataFrame | None = None) -> DataFrame:
