@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import random
+import string
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curveloom.llm.common import Workspace
 
 #: A candidate is a whole run of these characters, at least 16 long, that no letter or digit touches.
 CANDIDATE = r"(?<![\p{L}\p{N}+/_=-])[A-Za-z0-9+/_=-]{16,}(?![\p{L}\p{N}])"
+#: Characters before and after a candidate that speak for or against it.
 LEFT, RIGHT = 40, 20
-#: At most this many findings of each label train the forest, those with the smallest hashes.
+#: At most this many findings of each label train the forest, those with the smallest hashes; so many are planted.
 TRAIN_ROWS = 20_000
 #: Words of three letters or more that count as the dictionary: those in most texts' words, at most so many.
 DICTIONARY = 400
@@ -109,32 +113,93 @@ def score(found: DataFrame, model: RandomForestClassificationModel | None, words
     return p.withColumn("secret", F.col("p_secret") >= 0.5).select(*found.columns, "p_secret", "secret")
 
 
-def shape_labels(found: DataFrame) -> DataFrame:
-    """Labels for findings whose shape settles the matter; the others are not labelled.
+class Planted:
+    """Labelled findings of known making: what a generator of keys, tokens and passwords has written is a secret (1), what one of
+    words, numbers, digests, names, paths and placeholders has written is not (0).
 
-    1: an access-key id, or a hex or mixed run assigned to a secret-sounding name. 0: letters only, digits only, a host or path part.
+    The label follows from the generator alone. Neighbouring words are mostly those that go with it, but a share MISLEADING of
+    all findings stands among plain words or among the other label's, so that no feature gives the label away.
     """
-    c, left = F.col("candidate"), F.lower("before")
-    strong = c.rlike("^AKIA[A-Z0-9]{16}$") | (
-        c.rlike("^(?i)(?:[a-z_]*(?:password|passwd|secret|token|key))=(?=.*[0-9])[A-Za-z0-9+/_=-]{12,}$")
-        | (left.rlike(rf"(?:{SECRET_WORDS})[a-z_]*\s*[=:]\s*[\"']?$") & c.rlike("(?=.*[0-9])(?=.*[A-Za-z])"))
-    )
-    weak = c.rlike("^[A-Za-z]+$") | c.rlike("^[0-9]+$") | left.rlike(r"(://|@)[^\s]*$")
-    label = F.when(strong & ~weak, 1).when(weak & ~strong, 0)
-    return found.withColumn("label", label).where("label is not null")
+
+    MISLEADING = 0.15
+    SECRET_LEFT = ('token = "', "api_key: '", "secret=", "Authorization: Bearer ", 'password = "', "export AUTH_TOKEN=", "the access key is ", '"credential": "', "login pwd: ")
+    OTHER_LEFT = ("commit ", "sha256:", "checksum ", "md5 = ", "uuid: ", "number ", "order id ", "see http://example.org/", "from /usr/lib/", "etag: \"", "version ", "sample ")
+
+    def __init__(self, words: list[str], seed: int):
+        self.rng = random.Random(seed)
+        self.words = words or ["word"]
+
+    def of(self, letters: str, least: int, most: int) -> str:
+        return "".join(self.rng.choices(letters, k=self.rng.randint(least, most)))
+
+    def plain(self, n: int) -> str:
+        return " ".join(self.rng.choices(self.words, k=n))
+
+    def secret(self) -> str:
+        hexa, mixed = "0123456789abcdef", string.ascii_letters + string.digits
+        kind = self.rng.randrange(7)
+        if kind == 0:
+            return "AKIA" + self.of("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16, 16)
+        if kind in (1, 2):
+            return self.of(hexa, size := self.rng.choice((32, 40, 64)), size)
+        if kind == 3:
+            return self.rng.choice(("ghp_", "sk-", "xoxb-", "AIza")) + self.of(mixed, 24, 48)
+        if kind == 4:
+            return self.of(mixed + "+/", 22, 86) + "=" * self.rng.randrange(3)
+        if kind == 5:
+            return self.rng.choice(("password=", "passwd=", "secret_key=", "token=")) + self.of(mixed if self.rng.random() < 0.5 else hexa, 12, 40)
+        return self.of(mixed, 16, 40)
+
+    def other(self) -> str:
+        rng, hexa = self.rng, "0123456789abcdef"
+        kind = rng.randrange(9)
+        if kind in (0, 1):
+            run = ""
+            while len(run) < 16:
+                run += rng.choice(self.words)
+            return (run, run.capitalize(), run.upper())[rng.choice((0, 0, 0, 1, 2))]
+        if kind == 2:
+            return self.of(string.digits, 16, 22)
+        if kind == 3:
+            return self.of(hexa, size := rng.choice((32, 40, 64)), size)
+        if kind == 4:
+            return "-".join(self.of(hexa, n, n) for n in (8, 4, 4, 4, 12))
+        if kind == 5:
+            return rng.choice("/_-").join(rng.choices(self.words, k=rng.randint(3, 6))).ljust(16, "x")
+        if kind == 6:
+            return "".join(w.capitalize() for w in rng.choices(self.words, k=rng.randint(4, 6))).ljust(16, "s")
+        if kind == 7:
+            return rng.choice("=-_x") * rng.randint(16, 60)
+        return rng.choice(("your_api_key_goes_here", "example_secret_token", "insert-password-here", "secret=your_secret_key_here", "password=changeme_please"))
+
+    def row(self) -> tuple[str, str, str, str, int]:
+        label = self.rng.randrange(2)
+        candidate = self.secret() if label else self.other()
+        at = self.rng.random()
+        lefts = (self.SECRET_LEFT if label else self.OTHER_LEFT) if at >= self.MISLEADING else (self.OTHER_LEFT if label else self.SECRET_LEFT) if at < self.MISLEADING / 2 else ("",)
+        # What is told by its making stands among plain words as often as not; hex runs are told by their neighbours alone.
+        left = "" if self.rng.random() < 0.4 and not set(candidate) <= set("0123456789abcdef") else self.rng.choice(lefts)
+        after = (left[-1] if left[-1:] in ("'", '"') else "") + " " + self.plain(3)
+        return candidate, f"{self.plain(4)} {left}"[-LEFT:], after[:RIGHT], self.rng.choice(("", "", "src/app/config.py")), label
+
+
+def planted_findings(spark: SparkSession, words: list[str], rows: int = TRAIN_ROWS, seed: int = SEED) -> DataFrame:
+    """So many labelled findings (candidate, before, after, path, label) by Planted, the same at every call with equal arguments."""
+    made = Planted(words, seed)
+    return spark.createDataFrame([made.row() for _ in range(rows)], "candidate string, before string, after string, path string, label int")
 
 
 def secret_findings(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """doc_id, nth, candidate, before, after, path, p_secret, secret of every candidate in docs(doc_id, text, source).
 
-    The forest is trained from `labelled`; without it, from the findings that shape_labels() settles in the documents whose
-    crc32(doc_id) mod 3 is not 1, so that the rest is held out. Null and empty texts have no candidates, long texts are read
-    whole, a repeated row repeats its findings, an empty table gives none.
+    The forest is trained from `labelled` (candidate, before, after, path, label 0/1); without it from planted_findings(), so
+    that no document teaches anything but the dictionary. before and after are the 40 and 20 characters beside a candidate.
+    Null and empty texts have no candidates, long texts are read whole, a repeated row repeats its findings, null ids and
+    sources stay, columns of other names are not read, an empty table gives no findings.
     """
     ws = Workspace(docs.sparkSession, "secrets")
     found = ws.stage(candidates(docs), "candidates")
     words = dictionary(ws, docs)
     if labelled is None:
-        seen = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(3)) != 1
-        labelled = shape_labels(found.where(seen))
+        labelled = planted_findings(docs.sparkSession, words)
     return score(found, fit(labelled, words), words)
