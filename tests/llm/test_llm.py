@@ -360,11 +360,11 @@ def test_warc(spark, tmp_path):
     rows = [(i, f"http://x/{i} y\n", "<p>é" * (i % 7) if i % 5 else None) for i in range(300)] + [(3, "http://x/3", "other"), (None, None, "<p>é"), (None, "u", "n"), (7, "http://x/7 y\n", "<p>é" * 0)]
     pages = spark.createDataFrame([(*r, 1) for r in rows], "page_id bigint, url string, html string, sha int")
     out = f"file://{tmp_path}/a"
-    entries = warc.write_warc(pages, out, roll=4000, records=40)
+    entries = warc.write_warc(pages, out, roll=4000, shard_bytes=22_000)
     assert len(entries) > 8 and sum(e["records"] for e in entries) == len(rows) and not (tmp_path / "a/_temporary").exists()
     names = {p.name for p in (tmp_path / "a").glob("part-*")}
     assert names == {e["name"] for e in entries} and all(hashlib.sha256((tmp_path / "a" / e["name"]).read_bytes()).hexdigest() == e["sha256"] for e in entries)
-    again = warc.write_warc(pages.repartition(7), f"file://{tmp_path}/b", roll=4000, records=40)
+    again = warc.write_warc(pages.repartition(7), f"file://{tmp_path}/b", roll=4000, shard_bytes=22_000)
     assert again == entries
     got = warc.read_warc(spark, out).collect()
     first = {}
