@@ -71,39 +71,116 @@ class SeedIndex:
 
     def search(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int, int]]:
         """(text, item, seed hits, words compared, words equal, first word of the text's overlap) of the best overlap per pair."""
-        _, _, words = starts = self.hasher(np.frombuffer(b" ".join(texts), np.uint8))
+        starts, _, words = self.hasher(np.frombuffer(b" ".join(texts), np.uint8))
         sizes = np.cumsum([0] + [len(t) + 1 for t in texts])
-        first = np.searchsorted(starts[0], sizes)  # first word of each text
-        hits: dict[tuple[int, int, int], int] = {}
+        first = np.searchsorted(starts, sizes)  # first word of each text
+        found = _Diagonals()
         for mask, filled, keys, item, place in self.tables:
             h = self.seeds(words, mask)
             at = np.flatnonzero(filled[h >> np.uint64(44)])
             lo, hi = np.searchsorted(keys, h[at], "left"), np.searchsorted(keys, h[at], "right")
-            some = hi > lo
-            at, lo, hi = at[some], lo[some], hi[some]
             text = np.searchsorted(first, at, "right") - 1
-            whole = at + len(mask) <= first[text + 1]
-            for a, t, i, j in zip(at[whole].tolist(), text[whole].tolist(), lo[whole].tolist(), hi[whole].tolist()):
-                for p in range(i, j):
-                    key = (t, int(item[p]), a - int(place[p]))
-                    hits[key] = hits.get(key, 0) + 1
+            fine = (hi > lo) & (at + len(mask) <= first[text + 1])
+            found.add(at[fine], text[fine], lo[fine], hi[fine], item, place)
         best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
-        for (t, k, shift), n in hits.items():
+        for t, k, shift, n in found.rows():
             w = self.words[k]
             lo, hi = max(0, int(first[t]) - shift), min(len(w), int(first[t + 1]) - shift)
-            same = w[lo:hi] == words[shift + lo : shift + hi]
             need = min(OVERLAP, len(w))
-            if len(same) < need:
+            if hi - lo < need:
                 continue
+            same = w[lo:hi] == words[shift + lo : shift + hi]
             sums = np.concatenate(([0], np.cumsum(same)))
             runs = sums[need:] - sums[:-need]
             top = int(np.argmax(runs))
             if runs[top] >= SIMILARITY * need:
-                found = (int(same.sum()), -len(same), n, shift + lo + top - int(first[t]))
-                best[t, k] = max(best.get((t, k), found), found)
+                new = (int(same.sum()), lo - hi, n, shift + lo + top - int(first[t]))
+                best[t, k] = max(best.get((t, k), new), new)
         return [(t, k, n, -size, equal, at) for (t, k), (equal, size, n, at) in sorted(best.items())]
 
 
+class _Diagonals:
+    """Counts seed hits by text, item and diagonal (place in the texts less place in the item).
+
+    A seed that fits m places of the texts and n of an item gives m x n hits but m + n + (their spreads) diagonals at most. Where
+    the hits of one text and item are many, their diagonals are counted by a convolution of the places instead of one by one.
+    """
+
+    MANY = 1 << 16
+
+    def __init__(self):
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, at: np.ndarray, text: np.ndarray, lo: np.ndarray, hi: np.ndarray, item: np.ndarray, place: np.ndarray) -> None:
+        if not len(at):
+            return
+        run, which = np.unique(lo, return_inverse=True)  # a run of the table is one seed; many words may share it
+        often = np.bincount(which) * (hi - lo)[np.unique(lo, return_index=True)[1]] > self.MANY
+        rare = ~often[which]
+        a, t, lo_, n = at[rare], text[rare], lo[rare], (hi - lo)[rare]
+        ends = np.cumsum(n)
+        for i, j in _cuts(ends, 1 << 20):
+            m = n[i:j]
+            row = np.repeat(np.arange(i, j), m)
+            p = lo_[row] + np.arange(len(row)) - np.repeat(np.cumsum(m) - m, m)
+            self._put(t[row], item[p], a[row] - place[p])
+        for seed in np.flatnonzero(often):
+            mine = which == seed
+            a, t, p = at[mine], text[mine], np.arange(run[seed], hi[mine][0])
+            for x in np.unique(t):
+                for k in np.unique(item[p]):
+                    self._spread(int(x), int(k), a[t == x], place[p[item[p] == k]])
+
+    def _spread(self, text: int, item: int, a: np.ndarray, p: np.ndarray) -> None:
+        if len(a) * len(p) <= self.MANY:
+            d = (a[:, None] - p[None, :]).ravel()
+            return self._put(np.full(len(d), text), np.full(len(d), item), d)
+        x, y = np.zeros(int(np.ptp(a)) + 1), np.zeros(int(np.ptp(p)) + 1)
+        x[a - a.min()] = 1
+        y[p.max() - p] = 1
+        size = 1 << (len(x) + len(y) - 1).bit_length()
+        n = np.rint(np.fft.irfft(np.fft.rfft(x, size) * np.fft.rfft(y, size), size)[: len(x) + len(y) - 1]).astype(np.int64)
+        d = np.flatnonzero(n)
+        self._put(np.full(len(d), text), np.full(len(d), item), d + a.min() - p.max(), n[d])
+
+    def _put(self, text: np.ndarray, item: np.ndarray, shift: np.ndarray, n: np.ndarray | None = None) -> None:
+        pair = np.asarray(text, np.int64) << 32 | np.asarray(item, np.int64)
+        keys = np.empty(len(pair), [("pair", np.int64), ("shift", np.int64)])
+        keys["pair"], keys["shift"] = pair, shift
+        self.keys.append(keys)
+        self.counts.append(np.ones(len(pair), np.int64) if n is None else n)
+        self.held += len(pair)
+        if self.held > 1 << 21:
+            self._merge()
+
+    def _merge(self) -> None:
+        keys, n = np.concatenate(self.keys), np.concatenate(self.counts)
+        order = np.lexsort((keys["shift"], keys["pair"]))
+        keys, n = keys[order], n[order]
+        new = np.concatenate(([True], keys[1:] != keys[:-1]))
+        self.keys, self.counts = [keys[new]], [np.add.reduceat(n, np.flatnonzero(new))]
+        self.held = 0
+
+    def rows(self) -> Iterator[tuple[int, int, int, int]]:
+        """text, item, diagonal, hits."""
+        if self.keys:
+            self._merge()
+            pair = self.keys[0]["pair"]
+            yield from zip((pair >> 32).tolist(), (pair & 0xFFFFFFFF).tolist(), self.keys[0]["shift"].tolist(), self.counts[0].tolist())
+
+
+def _cuts(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose running total `ends` grows by about `most`."""
+    at = 0
+    while at < len(ends):
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield at, to
+        at = to
+
+
 def _texts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches that hold at most about BATCH bytes of text each, with the texts."""
     for batch in batches:

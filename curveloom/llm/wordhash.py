@@ -24,7 +24,8 @@ def mix(h: np.ndarray) -> np.ndarray:
 class WordHasher:
     """Hashes of whitespace-separated words: a polynomial over random byte values, taken from prefix sums.
 
-    With fold, A-Z count as a-z and the marks .,;:!?"() count for nothing, so `Word,` equals `word`.
+    With fold, A-Z count as a-z and the marks .,;:!?"() are passed over wherever they stand, so `"Wo(rd),` equals `word`.
+    A word of marks alone stays a word, equal to all others of that kind.
     """
 
     def __init__(self, seed: int, fold: bool = False):
@@ -33,9 +34,12 @@ class WordHasher:
         self.base = np.uint64(int(rng.integers(1, 1 << 62)) * 2 + 1)
         self.space = np.zeros(256, bool)
         self.space[list(SPACES)] = True
+        self.passed = None
         if fold:
             self.values[65:91] = self.values[97:123]
-            self.values[list(b'.,;:!?"()')] = 0
+            self.passed = np.zeros(256, bool)
+            self.passed[list(b'.,;:!?"()')] = True
+            self.values[self.passed] = 0
         self.back = np.uint64(pow(int(self.base), -1, 1 << 64))
         self.up = self.down = np.empty(0, np.uint64)
 
@@ -71,5 +75,10 @@ class WordHasher:
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[::2], edges[1::2]
         self._powers(len(buf) + 1)
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self.values[buf] * self.up[: len(buf)])))
-        return starts + at, ends + at, mix((sums[ends] - sums[starts]) * self.down[starts])
+        if self.passed is None:
+            up, first = self.up[: len(buf)], starts
+        else:  # places among the bytes that are not passed over
+            place = np.cumsum(~self.passed[buf]) - ~self.passed[buf]
+            up, first = self.up[place], place[starts]
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self.values[buf] * up)))
+        return starts + at, ends + at, mix((sums[ends] - sums[starts]) * self.down[first])
