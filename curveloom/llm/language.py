@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import math
 import re
 import sys
+import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,20 +19,49 @@ from curveloom.llm.common import Workspace
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LONGEST = 4
-#: The model holds at most this many words and as many n-grams of each length over all languages; rarer ones back off.
+#: Entries of the model: so many words and n-grams of each length, shared by the languages, but at least so many for each of them.
+#: The most frequent are taken; rarer words back off to their n-grams, so a model is a parameter's size, not the corpus's.
 MODEL_WORDS, MODEL_GRAMS = 200_000, 50_000
-#: At most so many languages are learned, those with most words.
-LANGUAGES = 256
+LEAST_WORDS, LEAST_GRAMS = 2_000, 1_000
 #: Buckets of counts per doubling, for the cut at the model's size.
 STEPS = 8
 #: Characters that a word may have; longer runs of letters are cut into words of this length.
 WIDEST = 40
-LETTERS = re.compile(rf"[^\W\d_]{{1,{WIDEST}}}")
+#: Bytes of the rows that a worker keeps of words and of n-grams it has worked out.
+ROOM = 32 << 20
+
+
+class Words:
+    """Finds words: a letter (Unicode category L) and the letters and combining marks (M) that follow it."""
+
+    def __init__(self):
+        kinds: dict[str, list[int]] = {"L": [], "M": [], "N": []}
+        for c in range(0x32400):  # the planes above hold no letters
+            kinds.get(unicodedata.category(chr(c))[0], []).append(c)
+        letters, marks = (self._class(kinds[k]) for k in "LM")
+        self.exact = re.compile(f"[{letters}][{letters}{marks}]{{0,{WIDEST - 1}}}")
+        #: Without marks and without numbers that are no decimal digits, \w says the same and is faster.
+        self.plain = re.compile(rf"[^\W\d_]{{1,{WIDEST}}}")
+        self.odd = frozenset(chr(c) for c in kinds["M"] + [c for c in kinds["N"] if unicodedata.category(chr(c)) != "Nd"])
+
+    @staticmethod
+    def _class(codes: list[int]) -> str:
+        cuts = [0, *(i for i in range(1, len(codes)) if codes[i] != codes[i - 1] + 1), len(codes)]
+        return "".join(f"\\U{codes[i]:08x}-\\U{codes[j - 1]:08x}" for i, j in zip(cuts, cuts[1:]))
+
+    def __call__(self, text: str) -> list[str]:
+        return (self.plain if text.isascii() or self.odd.isdisjoint(text) else self.exact).findall(text)
+
+
+_words: Words | None = None
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-cased runs of letters, the long ones in pieces."""
-    return LETTERS.findall(text.lower())
+    """The text's lower-cased words, long runs in pieces."""
+    global _words
+    if _words is None:
+        _words = Words()
+    return _words(text.lower())
 
 
 def count_words(train: DataFrame) -> DataFrame:
@@ -58,22 +87,56 @@ def count_words(train: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def most_frequent(counts: DataFrame, per_lang: int) -> DataFrame:
-    """The rows of counts(lang, n, ...) whose n lies in the highest buckets that hold at most per_lang rows of a language.
+def most_frequent(counts: DataFrame, key: str, per_lang: int) -> DataFrame:
+    """About per_lang rows of each language of counts(lang, key, n): whole buckets of the highest n, and of the first bucket that
+    does not fit the rows whose key's hash is small enough.
 
     One row per language and bucket of counts reaches the driver; no task sorts a language.
     """
     bucket = F.floor(F.log2("n") * STEPS)
-    cut: dict[str, float] = {}
+    cut: dict[str, tuple[int, float]] = {}
     kept: dict[str, int] = {}
     for lang, b, rows in sorted(counts.groupBy("lang", bucket.alias("b")).count().collect(), key=lambda r: (r[0], -r[1])):
-        kept[lang] = kept.get(lang, 0) + rows
-        if kept[lang] <= per_lang:
-            cut[lang] = b
+        have = kept.get(lang, 0)
+        if have < per_lang:
+            cut[lang] = (b, min(1.0, (per_lang - have) / rows))
+        kept[lang] = have + rows
     if not cut:
         return counts.limit(0)
-    least = F.create_map(*[F.lit(x) for lang, b in sorted(cut.items()) for x in (lang, b)])
-    return counts.where(bucket >= F.coalesce(least[F.col("lang")], F.lit(1 << 30)))
+    cuts = counts.sparkSession.createDataFrame([(lang, int(b), float(share)) for lang, (b, share) in sorted(cut.items())], "__lang string, __b bigint, __share double")
+    share = (F.xxhash64(key, F.lit(5)).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))).cast("double")
+    found = counts.join(F.broadcast(cuts), F.col("lang") == F.col("__lang"))
+    return found.where((bucket > F.col("__b")) | ((bucket == F.col("__b")) & (share < F.col("__share")))).select(counts.columns)
+
+
+class Table:
+    """Log frequencies by language of the keys counted for some of the languages: ln((n + 0.5) / whole), where whole is the
+    language's total + 0.5 per key + 1. Held as what each key adds to the row of a key that no language knows."""
+
+    def __init__(self, rows: Iterable[tuple[str, str, int]], totals: dict[str, int], languages: list[str]):
+        at = {lang: i for i, lang in enumerate(languages)}
+        rows = sorted((key, at[lang], n) for lang, key, n in rows if lang in at)
+        keys = list(dict.fromkeys(r[0] for r in rows))
+        self.place = {k: i for i, k in enumerate(keys)}
+        self.lang = np.array([r[1] for r in rows], np.int32)
+        self.more = np.log(np.array([r[2] for r in rows], np.float64) * 2 + 1).astype(np.float32)  # ln((n + 0.5) / 0.5)
+        self.ends = np.concatenate(([0], np.cumsum(np.bincount([self.place[r[0]] for r in rows], minlength=len(keys))))).astype(np.int64)
+        self.base = np.log(0.5 / (np.array([totals.get(lang, 0) for lang in languages], np.float64) + 0.5 * len(keys) + 1))
+
+    def row(self, key: str) -> np.ndarray | None:
+        i = self.place.get(key)
+        if i is None:
+            return None
+        out = self.base.copy()
+        at = slice(self.ends[i], self.ends[i + 1])
+        out[self.lang[at]] += self.more[at]
+        return out
+
+    def sum(self, places: np.ndarray) -> np.ndarray:
+        """The sum of the rows of keys by their places, repeats included."""
+        start, n = self.ends[places], self.ends[places + 1] - self.ends[places]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - start, n)
+        return self.base * len(places) + np.bincount(self.lang[at], self.more[at], len(self.base))
 
 
 class Model:
@@ -82,21 +145,12 @@ class Model:
     def __init__(self, languages: list[str], words: list, totals: dict[str, int], grams: list, gram_totals: dict):
         self.languages = sorted(languages)
         self._predictor = None
-        self.words = self._table([(w, lang, n) for lang, w, n in words], totals)
+        self.words = Table(words, totals, self.languages)
         self.grams = [
-            self._table([(g, lang, n) for lang, g, n in grams if len(g) == k], {lang: gram_totals.get((lang, k), 0) for lang in languages})
+            Table([r for r in grams if len(r[1]) == k], {lang: gram_totals.get((lang, k), 0) for lang in languages}, self.languages)
             for k in range(1, LONGEST + 1)
         ]
 
-    def _table(self, rows: list, totals: dict[str, int]) -> dict[str, np.ndarray]:
-        at = {lang: i for i, lang in enumerate(self.languages)}
-        counts: dict[str, np.ndarray] = {}
-        for key, lang, n in rows:
-            if lang in at:
-                counts.setdefault(key, np.zeros(len(at)))[at[lang]] += n
-        whole = np.array([totals.get(lang, 0) for lang in self.languages]) + 0.5 * len(counts) + 1
-        return {k: np.log((c + 0.5) / whole).astype(np.float32) for k, c in counts.items()}
-
     def predictor(self) -> Predictor:
         """One predictor for all tasks of a worker, so that rows worked out once stay."""
         if self._predictor is None:
@@ -105,25 +159,24 @@ class Model:
 
     def backoff(self, gram: str) -> np.ndarray:
         """The log frequencies of the n-gram, or the mean of its two shorter ones; an unknown character says nothing."""
-        if (v := self.grams[len(gram) - 1].get(gram)) is not None:
+        if (v := self.grams[len(gram) - 1].row(gram)) is not None:
             return v
         if len(gram) == 1:
-            return np.zeros(len(self.languages), np.float32)
+            return np.zeros(len(self.languages))
         return (self.backoff(gram[:-1]) + self.backoff(gram[1:])) / 2
 
 
 class Predictor:
     """Predicts with a model; rows of words and n-grams not in it are kept up to a bound."""
 
-    def __init__(self, model: Model, room: int = 200_000):
+    def __init__(self, model: Model, room: int | None = None):
+        room = room or max(1000, ROOM // (4 * max(1, len(model.languages))))
+        self.model, self.room = model, max(room, WIDEST + 2)
+        self.known = model.words.place
         self.grams: dict[str, int] = {}
-        self.gram_rows = np.zeros((room, len(model.languages)), np.float32)
-        self.model = model
-        self.known = {w: i for i, w in enumerate(model.words)}
-        self.rows = np.zeros((len(self.known) + room, len(model.languages)), np.float32)
-        if self.known:
-            self.rows[: len(self.known)] = list(model.words.values())
-        self.at = dict(self.known)
+        self.gram_rows = np.zeros((self.room, len(model.languages)), np.float32)
+        self.new: dict[str, int] = {}
+        self.new_rows = np.zeros((self.room, len(model.languages)), np.float32)
 
     def gram(self, gram: str) -> int:
         """The place of an n-gram's row, which is worked out once."""
@@ -131,16 +184,16 @@ class Predictor:
         self.gram_rows[i] = self.model.backoff(gram)
         return i
 
-    def place(self, word: str) -> int:
+    def unseen(self, word: str) -> int:
         """The place of a new word's row, the mean of its longest n-grams' rows."""
-        i = self.at[word] = len(self.at)
+        i = self.new[word] = len(self.new)
         marked = f"^{word}$"
         k = min(LONGEST, len(marked))
-        if len(self.grams) + WIDEST + 2 > len(self.gram_rows):
+        if len(self.grams) + WIDEST + 2 > self.room:
             self.grams.clear()
         grams = [marked[j : j + k] for j in range(len(marked) - k + 1)]
         rows = self.gram_rows[[n if (n := self.grams.get(g)) is not None else self.gram(g) for g in grams]]
-        self.rows[i] = np.add.reduce(rows, 0) / len(grams)
+        self.new_rows[i] = np.add.reduce(rows, 0) / len(grams)
         return i
 
     def __call__(self, text: str | None) -> tuple[str, float]:
@@ -148,12 +201,19 @@ class Predictor:
         if not words or not self.model.languages:
             return "und", 0.0
         total = np.zeros(len(self.model.languages))
-        for at in range(0, len(words), 50_000):
-            if len(self.at) + 50_000 > len(self.rows):
-                self.at = dict(self.known)
-            get = self.at.get
-            part = [i if (i := get(w)) is not None else self.place(w) for w in words[at : at + 50_000]]
-            total += self.rows[part].sum(0, dtype=np.float64)
+        get = self.known.get
+        step = min(50_000, self.room)
+        for at in range(0, len(words), step):
+            part = words[at : at + step]
+            places = [get(w, -1) for w in part]
+            found = np.array(places, np.int64)
+            total += self.model.words.sum(found[found >= 0])
+            rest = [w for w, i in zip(part, places) if i < 0]
+            if rest:
+                if len(self.new) + len(rest) > self.room:
+                    self.new.clear()
+                have = self.new.get
+                total += self.new_rows[[i if (i := have(w)) is not None else self.unseen(w) for w in rest]].sum(0, dtype=np.float64)
         mean = total / len(words)
         p = np.exp((mean - mean.max()) * min(len(words), 20))
         best = int(np.argmax(p))
@@ -166,12 +226,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(ws: Workspace, train: DataFrame) -> Model:
-    """A model of train(lang, text): counts cover all rows; only the most frequent entries reach the driver, by fixed bounds."""
+    """A model of train(lang, text): counts cover all rows and all languages; the most frequent entries reach the driver, about
+    as many as the model's size says."""
     counts = ws.stage(count_words(train), "words")
-    totals = {r[0]: r[1] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    totals = {r[0]: r[1] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     if not totals:
         return Model([], [], {}, [], {})
-    words = most_frequent(counts, MODEL_WORDS // len(totals)).collect()
+    words = most_frequent(counts, "word", max(LEAST_WORDS, MODEL_WORDS // len(totals))).collect()
     marked = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
     grams = [
         F.transform(F.sequence(F.lit(1), F.greatest(F.length(marked) - (k - 1), F.lit(1))), lambda i, k=k: F.substr(marked, i, F.lit(k)))
@@ -182,19 +243,20 @@ def fit(ws: Workspace, train: DataFrame) -> Model:
     sums = {(r[0], r[1]): r[2] for r in spread.groupBy("lang", F.length("gram")).agg(F.sum("n")).collect()}
     kept = []
     for k in range(1, LONGEST + 1):
-        kept += most_frequent(spread.where(F.length("gram") == k), MODEL_GRAMS // len(totals)).collect()
-    return Model(list(totals), [tuple(r) for r in words], totals, [tuple(r) for r in kept], sums)
+        kept += most_frequent(spread.where(F.length("gram") == k), "gram", max(LEAST_GRAMS, MODEL_GRAMS // len(totals))).collect()
+    return Model(list(totals), [(r["lang"], r["word"], r["n"]) for r in words], totals, [(r["lang"], r["gram"], r["n"]) for r in kept], sums)
 
 
 def _train(docs: DataFrame) -> DataFrame:
-    return docs.where(~held_out(F.col("doc_id"))).select("lang", "text")
+    return docs.where(~held_out(F.col("doc_id"))).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row of docs(doc_id, text); the whole text is read.
 
-    lang_pred is `und` with score 0 if the text is null, empty or has no letter, or if nothing was learned; else score is the
-    share of the best language's likelihood per word, sharpened by up to 20 words. Ties go to the first language by code point.
+    lang_pred is `und` with score 0 if the text is null, empty or has no letter (Unicode category L), or if nothing was learned;
+    else score is the share of the best language's likelihood per word, sharpened by up to 20 words. Ties go to the first
+    language by code point. Repeated rows get the same prediction each; other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -218,7 +280,11 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """docs without the rows that are `und` or whose best language has a score under `least`. All columns stay."""
+    """docs without the rows that are `und` or whose best language has a score under `least`, by predict()'s rules.
+
+    All columns stay, whatever their names; repeated rows are judged alike; an empty table gives no rows. Where no row has a
+    language, nothing is learned and nothing kept.
+    """
     model = fit(Workspace(docs.sparkSession, "language"), _train(docs))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
