@@ -21,10 +21,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def shared_base(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a private one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or on a local master a private one where it is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
         return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     global _own
     if _own is None:
         _own = tempfile.mkdtemp(prefix="curveloom-")
@@ -50,10 +52,10 @@ def bound_batches(spark: SparkSession) -> None:
 class Workspace:
     """Tables written under the shared folder, which cut lineage and survive the loss of executors."""
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, root: str | None = None):
         self.spark = spark
         bound_batches(spark)
-        self.root = f"{shared_base(spark)}/curveloom/{name}-{uuid.uuid4().hex}"
+        self.root = root or f"{shared_base(spark)}/curveloom/{name}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
@@ -70,10 +72,34 @@ class Workspace:
         for df in frames:
             self.remove(df._cl_path)
 
+    def _at(self, path: str):
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), where
+
     def remove(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        fs, where = self._at(path)
+        fs.delete(where, True)
+
+    def names(self) -> list[str]:
+        """What lies in the folder."""
+        fs, where = self._at(self.root)
+        return [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
+
+    def write_text(self, name: str, text: str) -> None:
+        """A new small file of the folder, in place as a whole."""
+        fs, temp = self._at(f"{self.root}/_{name}.{uuid.uuid4().hex}")
+        stream = fs.create(temp)
+        stream.write(text.encode())
+        stream.close()
+        if not fs.rename(temp, self._at(f"{self.root}/{name}")[1]):
+            raise OSError(f"cannot put {name} in place")
+
+    def read_text(self, name: str) -> str:
+        fs, where = self._at(f"{self.root}/{name}")
+        stream = fs.open(where)
+        text = bytes(stream.readAllBytes()).decode()
+        stream.close()
+        return text
 
     def release(self) -> None:
         """Let Spark's cleaner drop the shuffle files of finished stages now, not at the driver's next collection."""
