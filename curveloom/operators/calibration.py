@@ -6,6 +6,8 @@ follows from the anchors; the operators here build anchors, predict the raw rang
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -114,3 +116,63 @@ def tick_boxes(ticks: Column, axis: str, height: Column, width: Column, reach: i
         return F.struct(F.greatest(zero, left).alias("left"), F.greatest(zero, top).alias("top"), F.least(width, right).alias("right"), F.least(height, bottom).alias("bottom"))
 
     return F.filter(F.transform(ticks, box), lambda b: (b["right"] > b["left"]) & (b["bottom"] > b["top"]))
+
+
+def normalized_y(y_min: Column, y_max: Column, ticks: Column, low: float = -0.05, high: float = 1.5) -> Column:
+    """Whether the y axis runs over about 0..1: by its range if that is known, else by its tick labels, one at least."""
+    values = F.transform(ticks, lambda t: t["value"])
+    by_ticks = (F.size(values) >= 1) & (F.array_min(values) >= low) & (F.array_max(values) <= high)
+    return F.coalesce(F.when(y_min.isNotNull() & y_max.isNotNull(), (y_min >= low) & (y_max <= high)).otherwise(by_ticks), F.lit(False))
+
+
+def has_y(y_min: Column, y_max: Column, method: Column) -> Column:
+    """Whether both ends of the y axis are known from read labels."""
+    return y_min.isNotNull() & y_max.isNotNull() & F.coalesce(method.startswith("ocr"), F.lit(False))
+
+
+def acceptable(points: DataFrame, key: Sequence[str], scale: Column, least: int = 20, share: float = 0.08, y: str = "y") -> DataFrame:
+    """key, n, span and whether a curve has enough points and reaches over enough of its axis."""
+    found = points.groupBy(*key).agg(F.count(y).alias("n"), (F.max(y) - F.min(y)).alias("span"), F.max(scale).alias("scale"))
+    return found.withColumn("acceptable", F.coalesce((F.col("n") >= least) & (F.col("span") >= share * F.greatest("scale", F.lit(1e-6))), F.lit(False))).drop("scale")
+
+
+def label_keys(value: Column) -> Column:
+    """What two readings of one label share: three decimals up to 1.5, whole numbers above."""
+    return F.when(value <= 1.5, F.bround(value, 3)).otherwise(F.rint(value))
+
+
+def points_between(points: DataFrame, ends: DataFrame, key: str, x: str = "x") -> DataFrame:
+    """The points of a curve that lie within its ends(key, l, r)."""
+    return points.join(ends, key).where(F.col(x).between(F.col("l"), F.col("r"))).drop("l", "r")
+
+
+def height_over_wings(points: DataFrame, key: Sequence[str], near: int, far: int, x: str = "x", y: str = "y") -> DataFrame:
+    """points with `above`: the height over the higher of the highest points near..far to the left and to the right, 0 for an empty side."""
+    w = W.partitionBy(*key).orderBy(x)
+    sides = [F.coalesce(F.max(y).over(w.rangeBetween(*r)), F.lit(0.0)) for r in ((-far, -near), (near, far))]
+    return points.withColumn("above", F.col(y) - F.greatest(*sides))
+
+
+def running_median(points: DataFrame, key: Sequence[str], reach: int = 1, x: str = "x", y: str = "y", name: str = "middle") -> DataFrame:
+    """points with the median of y over up to `reach` points on each side."""
+    near = F.sort_array(F.collect_list(y).over(W.partitionBy(*key).orderBy(x).rowsBetween(-reach, reach)))
+    rows = points.withColumn("__s", near)
+    n = F.size("__s")
+    return rows.withColumn(name, (F.get("__s", F.floor((n - 1) / 2).cast("int")) + F.get("__s", F.floor(n / 2).cast("int"))) / 2).drop("__s")
+
+
+def chained_bands(middles: DataFrame, group: Sequence[str], at: str, name: str, gap: float) -> DataFrame:
+    """middles with `band`: in order of `at` (ties by name) a new one where the step is over the gap; a group, e.g. the masks of a
+    picture, is a window."""
+    w = W.partitionBy(*group).orderBy(at, name)
+    cut = middles.withColumn("__new", F.coalesce((F.col(at) - F.lag(at).over(w) > gap).cast("int"), F.lit(0)))
+    return cut.withColumn("band", F.sum("__new").over(w)).drop("__new")
+
+
+def drop_left_edge(points: DataFrame, key: Sequence[str], share: float = 0.06, low: float = 0.4, x: str = "x", y: str = "y") -> DataFrame:
+    """Points without those under `low` of the highest in the left `share` of the range, unless nothing else is left."""
+    w = W.partitionBy(*key)
+    ends = points.withColumns({"__a": F.min(x).over(w), "__b": F.max(x).over(w), "__top": F.max(y).over(w)})
+    keep = (F.col(x) > F.col("__a") + share * (F.col("__b") - F.col("__a"))) | (F.col(y) >= low * F.col("__top"))
+    kept = ends.withColumn("__keep", keep).withColumn("__kept", F.count_if("__keep").over(w))
+    return kept.where("__keep or __kept = 0").select(points.columns)

@@ -56,6 +56,21 @@ def keep_best(rows: DataFrame, id_col: str, keys: Column, order: Sequence[Column
     return joined.withColumn("__k", best).where("__k = 1").select(*rows.columns)
 
 
+def existing_match(rows: DataFrame, id_col: str, keys: Column, saved: DataFrame, saved_keys: Column, saved_id: str) -> DataFrame:
+    """id_col and `match` of the rows that a saved row shares a key with: the smallest saved id of the first key, in the order of
+    `keys`, that any saved row has."""
+    known = saved.select(F.col(saved_id).alias("__saved"), F.explode(saved_keys).alias("__key")).groupBy("__key").agg(F.min("__saved").alias("__saved"))
+    asked = rows.select(F.col(id_col).alias(id_col), F.posexplode(keys).alias("__rank", "__key"))
+    return asked.join(known, "__key").groupBy(id_col).agg(F.min_by("__saved", "__rank").alias("match"))
+
+
+def unseen(rows: DataFrame, id_col: str, keys: Column, saved: DataFrame, saved_keys: Column) -> DataFrame:
+    """rows that share no key with a saved row; rows without a key are unseen."""
+    known = saved.select(F.explode(saved_keys).alias("__key")).distinct()
+    met = rows.select(F.col(id_col).alias("__id"), F.explode(keys).alias("__key")).join(known, "__key", "left_semi").select("__id").distinct()
+    return rows.join(met, F.col(id_col) == F.col("__id"), "left_anti")
+
+
 def keep_best_in_order(rows: DataFrame, group: Sequence[str], order: str, keys: str, score: str, schema: str) -> DataFrame:
     """The sequential rule inside each group: a row that meets a stored one by its first known key replaces it if it scores more.
 

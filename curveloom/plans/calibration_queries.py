@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from curveloom.operators import calibration as K
@@ -97,11 +96,7 @@ def best_attempts(spark, sf_dir):
 k AS (SELECT *, x > a + 0.06 * (b - a) OR y >= 0.4 * top AS keep FROM m), n AS (SELECT *, count(*) FILTER (keep) OVER (PARTITION BY curve) AS kept FROM k) SELECT curve, x, round(y, 6) AS y FROM n WHERE keep OR kept = 0""")
 def left_edge_peaks(spark, sf_dir):
     """Points without low ones at the left edge, unless nothing else is left."""
-    w = C.over(["curve"])
-    d = daily_points(spark, sf_dir).select("curve", "x", "y")
-    a, b, top = F.min("x").over(w), F.max("x").over(w), F.max("y").over(w)
-    k = d.withColumn("keep", (F.col("x") > a + 0.06 * (b - a)) | (F.col("y") >= 0.4 * top)).withColumn("kept", F.count_if("keep").over(w))
-    return k.where("keep or kept = 0").select("curve", "x", F.round("y", 6).alias("y"))
+    return K.drop_left_edge(daily_points(spark, sf_dir).select("curve", "x", "y"), ["curve"]).select("curve", "x", F.round("y", 6).alias("y"))
 
 
 @query("profile_between", f"""WITH d AS ({DAILY_POINTS}), e AS (SELECT curve, min(x) + 5 AS l, min(x) + 12 AS r FROM d GROUP BY 1)
@@ -109,37 +104,29 @@ SELECT d.curve, count(*) AS n, round(min(y), 6) AS valley, round(avg(y), 6) AS m
 def profile_between(spark, sf_dir):
     d = daily_points(spark, sf_dir)
     e = d.groupBy("curve").agg((F.min("x") + 5).alias("l"), (F.min("x") + 12).alias("r"))
-    return d.join(e, "curve").where("x between l and r").groupBy("curve").agg(F.count("*").alias("n"), F.round(F.min("y"), 6).alias("valley"), F.round(F.avg("y"), 6).alias("mean"))
+    return K.points_between(d, e, "curve").groupBy("curve").agg(F.count("*").alias("n"), F.round(F.min("y"), 6).alias("valley"), F.round(F.avg("y"), 6).alias("mean"))
 
 
 @query("wing_maxima", f"""WITH d AS ({DAILY_POINTS}), m AS (SELECT *, lag(y) OVER w AS l, lead(y) OVER w AS r FROM d WINDOW w AS (PARTITION BY curve ORDER BY x)), p AS (SELECT curve, x, y FROM m WHERE y > l AND y > r)
 SELECT p.curve, p.x, round(p.y - greatest(coalesce(max(d.y) FILTER (d.x BETWEEN p.x - 4 AND p.x - 2), 0), coalesce(max(d.y) FILTER (d.x BETWEEN p.x + 2 AND p.x + 4), 0)), 6) AS above FROM p JOIN d ON p.curve = d.curve AND d.x BETWEEN p.x - 4 AND p.x + 4 GROUP BY p.curve, p.x, p.y""")
 def wing_maxima(spark, sf_dir):
     """Heights of local maxima over the highest point of either wing, two to four days away."""
-    d = daily_points(spark, sf_dir).select("curve", "x", "y")
-    w = C.over(["curve"]).orderBy("x")
-    wings = d.withColumns({"left": F.max("y").over(w.rangeBetween(-4, -2)), "right": F.max("y").over(w.rangeBetween(2, 4))})
-    above = F.col("y") - F.greatest(F.coalesce("left", F.lit(0.0)), F.coalesce("right", F.lit(0.0)))
-    return C.local_maxima(wings, ["curve"]).select("curve", "x", F.round(above, 6).alias("above"))
+    d = K.height_over_wings(daily_points(spark, sf_dir).select("curve", "x", "y"), ["curve"], 2, 4)
+    return C.local_maxima(d, ["curve"]).select("curve", "x", F.round("above", 6).alias("above"))
 
 
 @query("running_median", f"""WITH d AS ({DAILY_POINTS}), w AS (SELECT *, list(y) OVER (PARTITION BY curve ORDER BY x ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS ys FROM d)
 SELECT curve, x, round(list_median(ys), 6) AS middle FROM w""")
 def running_median(spark, sf_dir):
-    d = daily_points(spark, sf_dir)
-    s = d.withColumn("s", F.sort_array(F.collect_list("y").over(C.over(["curve"]).orderBy("x").rowsBetween(-1, 1))))
-    n = F.size("s")
-    middle = (F.get("s", F.floor((n - 1) / 2).cast("int")) + F.get("s", F.floor(n / 2).cast("int"))) / 2
-    return s.select("curve", "x", F.round(middle, 6).alias("middle"))
+    return K.running_median(daily_points(spark, sf_dir), ["curve"]).select("curve", "x", F.round("middle", 6).alias("middle"))
 
 
 @query("value_bands", """WITH v AS (SELECT event_type, median(value) AS m FROM events GROUP BY 1), o AS (SELECT *, lag(m) OVER (ORDER BY m, event_type) AS p FROM v)
 SELECT event_type, round(m, 6) AS middle, CAST(sum(CASE WHEN m - p > 2 THEN 1 ELSE 0 END) OVER (ORDER BY m, event_type) AS BIGINT) AS band FROM o""")
 def value_bands(spark, sf_dir):
     """Event types chained into bands where their median values lie at most 2 apart. One row per type is ordered."""
-    m = table(spark, sf_dir, "events").groupBy("event_type").agg(F.median("value").alias("m"))
-    w = W.orderBy("m", "event_type")
-    return m.withColumn("g", F.when(F.col("m") - F.lag("m").over(w) > 2, 1).otherwise(0)).select("event_type", F.round("m", 6).alias("middle"), F.sum("g").over(w).alias("band"))
+    m = table(spark, sf_dir, "events").groupBy("event_type").agg(F.median("value").alias("m")).withColumn("all", F.lit(1))
+    return K.chained_bands(m, ["all"], "m", "event_type", 2.0).select("event_type", F.round("m", 6).alias("middle"), "band")
 
 
 @query("percentile_ladder", f"""WITH p AS ({USER_POINTS}) SELECT curve, {', '.join(f'round(quantile_cont(y, {q / 100}), 6) AS p{q}' for q in (3, 8, 20, 85, 92, 99))} FROM p GROUP BY 1""")
