@@ -220,6 +220,13 @@ class Predictor:
         return self.model.languages[best], float(p[best] / p.sum())
 
 
+def ngrams(word: Column, k: int) -> Column:
+    """The n-grams of k characters of ^word$, or the whole of a shorter one."""
+    marked = F.concat(F.lit("^"), word, F.lit("$"))
+    places = F.sequence(F.lit(1), F.greatest(F.length(marked) - (k - 1), F.lit(1)))
+    return F.transform(places, lambda i: F.substr(marked, i, F.lit(k)))  # a second argument would be the index
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 3, is 1; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
@@ -233,12 +240,8 @@ def fit(ws: Workspace, train: DataFrame) -> Model:
     if not totals:
         return Model([], [], {}, [], {})
     words = most_frequent(counts, "word", max(LEAST_WORDS, MODEL_WORDS // len(totals))).collect()
-    marked = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
-    grams = [
-        F.transform(F.sequence(F.lit(1), F.greatest(F.length(marked) - (k - 1), F.lit(1))), lambda i, k=k: F.substr(marked, i, F.lit(k)))
-        for k in range(1, LONGEST + 1)
-    ]
-    spread = counts.select("lang", "n", F.explode(F.concat(*grams)).alias("gram"))
+    grams = F.concat(*[ngrams(F.col("word"), k) for k in range(1, LONGEST + 1)])
+    spread = counts.select("lang", "n", F.explode(grams).alias("gram"))
     spread = ws.stage(spread.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     sums = {(r[0], r[1]): r[2] for r in spread.groupBy("lang", F.length("gram")).agg(F.sum("n")).collect()}
     kept = []
