@@ -27,7 +27,7 @@ WINDOW, GRAM = 20, 8
 #: Runs of one level that are compacted into one of the next.
 FANOUT = 2
 #: A run's rows of one gram are spread over this many keys by their span, so that a frequent gram fills no bucket.
-SPREAD = 16
+SPREAD = 8
 #: Bytes of text hashed at once; anchors or windows compared inside a task before they are shuffled.
 PIECE, CHUNK = 4 << 20, 1_000_000
 #: Rows without an id count as one document after all others.
@@ -195,16 +195,25 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 @contextmanager
 def merging(spark: SparkSession):
-    """Lets joins use the buckets and the order that runs are written in; the session's settings are put back after."""
-    wanted = {"spark.sql.legacy.bucketedTableScan.outputOrdering": "true", "spark.sql.requireAllClusterKeysForCoPartition": "false"}
-    before = {k: spark.conf.get(k) for k in wanted}
+    """Lets joins use the buckets and the order that runs are written in, and merge instead of broadcasting, whatever a run's size
+    is taken for; the session's settings are put back after."""
+    wanted = {
+        "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
         spark.conf.set(k, v)
     try:
         yield
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 #: The two tables of a run: columns, the keys of its buckets and its order.
@@ -305,14 +314,14 @@ class FingerprintIndex:
         return rows.select("fp", "s", "span", "doc", "row", "at", "n", seen.alias("old"), (F.col("first") & ~seen).alias("fresh"), (F.col("one") & ~seen).alias("lead"))
 
     def several(self, heads: DataFrame) -> DataFrame:
-        """(fp, s) of the grams of heads that stand in more than one span, the runs' counted."""
+        """(fp) of the grams of heads that stand in more than one span, the runs' counted."""
         rows, low, high = heads, [F.col("a")], [F.col("b")]
         for i, (_, run) in enumerate(self.runs):
             rows = rows.join(self.heads(run).select("fp", F.col("a").alias(f"a{i}"), F.col("b").alias(f"b{i}")), "fp", "left")
             low.append(F.coalesce(f"a{i}", "a"))
             high.append(F.coalesce(f"b{i}", "b"))
         both = rows.where(F.least(*low) != F.greatest(*high)) if self.runs else rows.where("a <> b")
-        return both.select("fp", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("s"))
+        return both.select("fp")
 
     def add(self, docs: DataFrame, history: DataFrame | None = None, *, last: bool = False) -> DataFrame:
         """(doc, row, at, n): the windows of docs(doc, text) that repeat an earlier one, as n starts from word `at`, staged.
@@ -322,38 +331,38 @@ class FingerprintIndex:
         read from there and compared one by one. With last, compaction is left to the caller.
         """
         ws, name = self.ws, f"cl_{uuid.uuid4().hex}"
+        cut = ["doc", "row", "at", "n"]
         docs = numbered(docs)
         found = ws.stage(find_anchors(docs), "anchors")
         with merging(self.spark):
             judged = self._write(self.judged(found), f"{name}_spans", SPANS)
+            known = ws.stage(judged.where("not fresh").select(cut).unionByName(found.where("repeated").select(cut)), "known")
+            ws.drop(found)
             ws.release()
             heads = judged.where("lead").groupBy("fp").agg(F.min("span").alias("a"), F.max("span").alias("b"))
             heads = self._write(heads if partitions(self.spark) == self.buckets else heads.repartition(self.buckets, "fp"), f"{name}_heads", HEADS)
             # An anchor in several spans has windows that may repeat without their whole span.
-            several = ws.stage(self.several(heads), "several")
+            several = ws.stage(self.several(heads), "several").select("fp", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("s"))
             doubtful = judged.where("fresh").join(several, ["fp", "s"], "left_semi").select("doc", "row", "at", "n", F.lit(False).alias("old"))
             for _, run in self.runs:
                 doubtful = doubtful.unionByName(self.spans(run).join(several, ["fp", "s"], "left_semi").select("doc", "row", "at", "n", F.lit(True).alias("old")))
             marks = ws.stage(doubtful.groupBy("doc", "row", "old").agg(F.collect_list(F.struct("at", "n")).alias("spans")), "doubtful")
-        ws.drop(several)
-        ws.release()
-        windows = None
-        for old, texts in ((False, docs), (True, numbered(history) if history is not None else None)):
-            if texts is not None:
-                mine = marks.where(F.col("old") == old).select(F.col("doc").alias("__doc"), F.col("row").alias("__row"), "spans")
-                marked = texts.join(mine, (F.col("doc") == F.col("__doc")) & (F.col("row") == F.col("__row")))
-                part = find_windows(marked).withColumn("old", F.lit(old))
-                windows = part if windows is None else windows.unionByName(part)
-        windows = ws.stage(windows, "windows")
-        ws.drop(marks)
-        ws.release()
-        place = F.struct((~F.col("old")).alias("new"), "doc", "at")
-        single = windows.where("not repeated").select("*", place.alias("place"), F.min(place).over(W.partitionBy("h1", "h2")).alias("least"))
-        cut = ["doc", "row", "at", "n"]
-        out = single.where("not old and place <> least").select(cut).unionByName(windows.where("repeated and not old").select(cut))
-        out = out.unionByName(judged.where("not fresh").select(cut)).unionByName(found.where("repeated").select(cut))
-        out = ws.stage(out, "repeats")
-        ws.drop(windows, found)
+            ws.release()
+            windows = None
+            for old, texts in ((False, docs), (True, numbered(history) if history is not None else None)):
+                if texts is not None:
+                    mine = marks.where(F.col("old") == old).select(F.col("doc").alias("__doc"), F.col("row").alias("__row"), "spans")
+                    marked = texts.join(mine, (F.col("doc") == F.col("__doc")) & (F.col("row") == F.col("__row")))
+                    part = find_windows(marked).withColumn("old", F.lit(old))
+                    windows = part if windows is None else windows.unionByName(part)
+            windows = ws.stage(windows, "windows")
+            ws.drop(marks)
+            ws.release()
+            place = F.struct((~F.col("old")).alias("new"), "doc", "at")
+            single = windows.where("not repeated").select("*", place.alias("place"), F.min(place).over(W.partitionBy("h1", "h2")).alias("least"))
+            out = single.where("not old and place <> least").select(cut).unionByName(windows.where("repeated and not old").select(cut))
+            out = ws.stage(out.unionByName(known), "repeats")
+            ws.drop(windows, known)
         ws.release()
         self.runs.append((0, name))
         self._manifest()
@@ -364,7 +373,7 @@ class FingerprintIndex:
 
 def strip(docs: DataFrame, repeats: DataFrame) -> DataFrame:
     """docs(doc_id, doc, row, text) without the words that repeats(doc, row, at, n) covers: doc_id, n_words, n_removed, kept_sha256, kept."""
-    marks = repeats.groupBy(F.col("doc").alias("__doc"), F.col("row").alias("__row")).agg(F.collect_list(F.struct("at", "n")).alias("spans"))
+    marks = repeats.groupBy(F.col("doc").alias("__doc"), F.col("row").alias("__row")).agg(F.collect_list(F.struct("at", "n")).alias("spans")).hint("merge")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -392,7 +401,7 @@ def strip(docs: DataFrame, repeats: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
 
 
-def remove_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
+def remove_repeats(docs: DataFrame, batches: int = 3) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept of every row of docs(doc_id, text): words in repeated windows are removed.
 
     Words are runs of anything but ASCII whitespace. A word goes if a window of 20 words that covers it also starts earlier, in a
@@ -415,7 +424,7 @@ def remove_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
             part = part.where(F.col("doc") > cuts[k - 1])
         if k < len(cuts):
             part = part.where(F.col("doc") <= cuts[k])
-        repeats = index.add(part, below)
+        repeats = index.add(part, below, last=k == len(cuts))
         kept = strip(part.withColumn("row", F.xxhash64(F.coalesce("text", F.lit("")))), repeats)
         out = kept if out is None else out.unionByName(kept)
         if k < len(cuts):
@@ -423,6 +432,6 @@ def remove_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
     return out
 
 
-def repeats_digest(docs: DataFrame, batches: int = 2) -> DataFrame:
+def repeats_digest(docs: DataFrame, batches: int = 3) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256."""
     return remove_repeats(docs, batches).drop("kept")
