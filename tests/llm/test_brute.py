@@ -6,6 +6,7 @@ import re
 import unicodedata
 import zlib
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import pytest
@@ -28,13 +29,18 @@ def plain(text):
 def brute_leaks(text, item):
     """Words equal on the best alignment in which 13 words of the item (all of a shorter one) agree to 80 %, or None."""
     a, b = plain(text), plain(item)
-    need, best = min(13, len(b)), None
-    for shift in range(-len(b) + 1, len(a)) if len(b) >= 5 else ():
-        lo, hi = max(0, -shift), min(len(b), len(a) - shift)
-        same = [a[shift + k] == b[k] for k in range(lo, hi)]
-        if any(sum(same[s : s + need]) >= 0.8 * need for s in range(len(same) - need + 1)):
-            best = max(best or 0, sum(same))
-    return best
+    need = min(13, len(b))
+    if len(b) < 5:
+        return None
+    ids = {w: k for k, w in enumerate(dict.fromkeys(a + b))}
+    pad = [-1] * len(b)
+    x, y = np.array(pad + [ids[w] for w in a] + pad), np.array([ids[w] for w in b])
+    same = np.stack([x[k : len(x) - len(b) + k] == y[k] for k in range(len(b))])  # word of the item, alignment
+    there = np.stack([x[k : len(x) - len(b) + k] >= 0 for k in range(len(b))])
+    hit = np.zeros(same.shape[1], bool)
+    for s in range(len(b) - need + 1):
+        hit |= (same[s : s + need].sum(0) >= 0.8 * need) & there[s : s + need].all(0)
+    return int(same[:, hit].sum(0).max()) if hit.any() else None
 
 
 @pytest.mark.parametrize("vocabulary", [3, 6, 300])
@@ -111,41 +117,54 @@ def brute_words(text):
     return out
 
 
-def brute_language(train, text):
-    langs = sorted({lang for lang, _ in train if lang})
-    words = {lang: Counter(w for a, t in train if a == lang for w in brute_words(t)) for lang in langs}
-    langs = [lang for lang in langs if words[lang]]
-    grams = {(lang, k): Counter() for lang in langs for k in range(1, 5)}
+def brute_model(train):
+    """text -> (language, score) learned from train, a list of (language, text)."""
+    words = {lang: Counter(w for a, t in train if a == lang for w in brute_words(t)) for lang in sorted({lang for lang, _ in train if lang})}
+    words = {lang: c for lang, c in words.items() if c}
+    langs = list(words)
+    grams = {k: {lang: Counter() for lang in langs} for k in range(1, 5)}
     for lang in langs:
         for w, n in words[lang].items():
             for k in range(1, 5):
                 for i in range(max(len(w) + 2 - k + 1, 1)):
                     g = f"^{w}$"[i : i + k]
-                    grams[lang, len(g)][g] += n
+                    grams[len(g)][lang][g] += n
 
-    def scores(counts, key):
+    def table(counts):
         known = {g for c in counts.values() for g in c}
-        if key not in known:
-            return None
-        return np.array([math.log((counts[lang][key] + 0.5) / (sum(counts[lang].values()) + 0.5 * len(known) + 1)) for lang in langs])
+        whole = {lang: sum(c.values()) + 0.5 * len(known) + 1 for lang, c in counts.items()}
+        return lambda key: np.array([math.log((counts[lang][key] + 0.5) / whole[lang]) for lang in langs]) if key in known else None
 
+    of_words, of_grams = table(words), {k: table(c) for k, c in grams.items()}
+
+    @cache
     def gram(g):
-        found = scores({lang: grams[lang, len(g)] for lang in langs}, g)
+        found = of_grams[len(g)](g)
         return found if found is not None else np.zeros(len(langs)) if len(g) == 1 else (gram(g[:-1]) + gram(g[1:])) / 2
 
-    mine = brute_words(text)
-    if not mine or not langs:
-        return "und", 0.0
-    total = np.zeros(len(langs))
-    for w in mine:
-        found = scores(words, w)
-        if found is None:
-            m = f"^{w}$"
-            k = min(4, len(m))
-            found = np.mean([gram(m[i : i + k]) for i in range(len(m) - k + 1)], axis=0)
-        total += found
-    p = np.exp((total - total.max()) / len(mine) * min(len(mine), 20))
-    return langs[int(np.argmax(p))], float(p.max() / p.sum())
+    @cache
+    def word(w):
+        found = of_words(w)
+        if found is not None:
+            return found
+        m = f"^{w}$"
+        k = min(4, len(m))
+        return np.mean([gram(m[i : i + k]) for i in range(len(m) - k + 1)], axis=0)
+
+    def predict(text):
+        mine = brute_words(text)
+        if not mine or not langs:
+            return "und", 0.0
+        total = sum(word(w) for w in mine)
+        p = np.exp((total - total.max()) / len(mine) * min(len(mine), 20))
+        return langs[int(np.argmax(p))], float(p.max() / p.sum())
+
+    return predict
+
+
+def learned(rows):
+    """What a model may learn of (doc_id, text, lang) rows."""
+    return [(lang, t) for i, t, lang in rows if lang and zlib.crc32(("" if i is None else str(i)).encode()) % 3 != 1]
 
 
 def test_languages_by_brute_force(spark):
@@ -154,10 +173,9 @@ def test_languages_by_brute_force(spark):
     rows = [(i, " ".join(rng.choices(vocabulary[lang].split(), k=rng.randint(1, 9))), lang) for i, lang in enumerate(rng.choices(list(vocabulary), k=90))]
     rows += [(200, "² ½ ① Ⅷ", "en"), (201, "١٢٣ ́ ̈", "de"), (202, None, "de"), (203, "the straßen unseen wörtchen 12 É", None), (204, "नमस्", None), (205, "ABC" * 40, "en"), (206, "a b" * 9, None), (3, rows[3][1], rows[3][2]), (None, "the the", "en")]
     got = language.identify(docs_of(spark, rows)).collect()
-    train = [(lang, t) for i, t, lang in rows if lang and zlib.crc32(("" if i is None else str(i)).encode()) % 3 != 1]
-    want = Counter()
+    predict, want = brute_model(learned(rows)), Counter()
     for i, t, _ in rows:
-        lang, score = brute_language(train, t)
+        lang, score = predict(t)
         want[str(i), lang, round(score, 4)] += 1
     assert Counter((str(r.doc_id), r.lang_pred, round(r.score, 4)) for r in got) == want
     assert {r.lang_pred for r in got if r.doc_id in (200, 201, 202)} == {"und"} and {r.score for r in got if r.doc_id in (200, 201, 202)} == {0.0}

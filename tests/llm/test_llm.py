@@ -427,34 +427,3 @@ def test_mixing(spark):
     assert mixed.columns == docs_of(spark, rows).columns
     copies = Counter(r.doc_id for r in mixed.collect())
     assert all(copies[r.doc_id] * r.size == r.taken * (2 if r.doc_id == 5 else 1) for r in got)
-
-
-# Pipeline
-
-
-def test_pipeline(spark, small):
-    pipeline = pytest.importorskip("corpus_pipeline")
-    got = pipeline.run(spark, small).collect()
-    docs = spark.read.parquet(f"{small}/documents.parquet")
-    rows = {r.doc_id: r for r in docs.collect()}
-    bench = spark.read.parquet(f"{small}/benchmark.parquet")
-    named = {r.doc_id: r for r in language.identify(docs).collect()}
-    keep = {i for i in rows if named[i].lang_pred != "und" and named[i].score >= 0.5}
-    fps = {i: brute_fingerprint(rows[i].text) for i in keep}
-    ids = sorted(keep)
-    root = roots([(a, b) for k, a in enumerate(ids) for b in ids[:k] if bin(fps[a] ^ fps[b]).count("1") <= 2], ids)
-    keep = {i for i in ids if root[i] == i}
-    leaking = {r.doc_id for r in decontamination.leaks(docs, bench).collect()}
-    keep -= leaking
-    sizes = Counter()
-    for i in keep:
-        sizes[rows[i].source] += len(WORD.findall(rows[i].text))
-    targets = brute_targets(sizes)
-    want = Counter()
-    for i in keep:
-        rate = targets[rows[i].source] / sizes[rows[i].source]
-        u = int(hashlib.md5(f"{i}:1".encode()).hexdigest()[:13], 16) / 2**52
-        want[i] = int(rate) + (u < rate - int(rate))
-    assert Counter(r.doc_id for r in got) == +want
-    assert all(r.shard == owner(r.doc_id, 8) and r.text == rows[r.doc_id].text for r in got)
-    assert [n for n, _ in pipeline.STAGES] == ["language", "near_duplicates", "decontamination", "mixing", "sharding"]
