@@ -134,7 +134,7 @@ def percentile_ladder(spark, sf_dir):
     return user_points(spark, sf_dir).groupBy("curve").agg(*[F.round(F.percentile("y", F.lit(q / 100)), 6).alias(f"p{q}") for q in (3, 8, 20, 85, 92, 99)])
 
 
-@query("formatted_numbers")
+@query("formatted_numbers", "SELECT p_partkey, format('{:.6g}', p_retailprice) AS shown FROM part")
 def formatted_numbers(spark, sf_dir):
     """Prices with six significant digits."""
     return table(spark, sf_dir, "part").select("p_partkey", IO.as_g(F.col("p_retailprice")).alias("shown"))
@@ -149,7 +149,7 @@ def crop_regions(spark, sf_dir):
     return G.crop_region(b, "doc", pages)
 
 
-@query("parser_commands")
+@query("parser_commands", "SELECT r_regionkey, 'success' AS status, CAST(0 AS INTEGER) AS return_code, r_name || ' ' || r_regionkey AS said FROM region")
 def parser_commands(spark, sf_dir):
     """A user's command, run once per region."""
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
