@@ -45,6 +45,65 @@ low AS (SELECT u, min(c) AS c FROM reach GROUP BY 1), n AS (SELECT u, count(*) A
 SELECT e.vec_id, coalesce(n.n, 0) AS n_links, low.c AS component_id, low.c = e.vec_id AS kept FROM embeddings e JOIN low ON low.u = e.vec_id LEFT JOIN n ON n.u = e.vec_id
 """
 
+OP6 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), crc(c) AS (SELECT list_transform(range(256), lambda x: list_reduce(list_concat([x], range(8)), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END))),
+b AS (SELECT doc_id, octet_length(encode(t)) + 1 AS size, list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: CAST('0x' || h AS BIGINT))) AS bytes FROM d),
+k AS (SELECT doc_id, size, xor(list_reduce(bytes, lambda a, x: xor(a >> 8, c[1 + (xor(a, x) & 255)])), 4294967295) AS text_crc32 FROM b CROSS JOIN crc),
+u AS (SELECT k.*, s, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || s || ':0'), 1, 13) AS BIGINT) AS u FROM k CROSS JOIN range(9) r(s)),
+p AS (SELECT doc_id, size, text_crc32, arg_max(s, u) FILTER (s < 8) AS shard, arg_max(s, u) AS grown FROM u GROUP BY 1, 2, 3)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, CAST(grown AS INTEGER) AS grown_shard FROM p
+"""
+
+M64 = "18446744073709551616::UHUGEINT"
+# The primes of XXH64.
+P1, P2, P3, P4, P5 = (f"{p}::UHUGEINT" for p in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
+
+
+def _rot(z: str, r: int) -> str:
+    """z turned left by r of 64 bits."""
+    return f"((({z}) * {1 << r}::UHUGEINT) % {M64} + ({z}) // {1 << 64 - r}::UHUGEINT)"
+
+
+def _xor(a: str, b: str) -> str:
+    return f"CAST(xor(CAST({a} AS UBIGINT), CAST({b} AS UBIGINT)) AS UHUGEINT)"
+
+
+def _round(a: str, x: str) -> str:
+    return f"({_rot(f'(({a} + {x} * {P2}) % {M64})', 31)} * {P1} % {M64})"
+
+
+def _fold(first: str, items: str, step: str) -> str:
+    """The items folded from the left, from `first`, by step(a, x)."""
+    return f"list_reduce(list_concat([{first}], {items}), lambda a, x: {step})"
+
+
+def _lane(n: int) -> str:
+    """The little-endian numbers of n bytes of a hex text h that start at the places x."""
+    return "CAST('0x' || " + " || ".join(f"substr(h, 2 * x + {2 * k + 1}, 2)" for k in reversed(range(n))) + " AS UHUGEINT)"
+
+
+#: XXH64 (seed 42) of the hex text h of n bytes, in steps: the lanes of 32 bytes each, what is left in eights, in fours and in ones.
+XXH64 = f"""
+x1 AS (SELECT *, n // 32 * 32 AS done, (n - n // 32 * 32) // 8 * 8 + n // 32 * 32 AS eights, CASE WHEN n % 8 >= 4 THEN n // 8 * 8 + 4 ELSE n // 8 * 8 END AS fours FROM x0),
+x2 AS (SELECT *, {", ".join(f"CASE WHEN done > 0 THEN {_fold(v, f'list_transform(range({8 * j}, done, 32), lambda x: {_lane(8)})', _round('a', 'x'))} END AS v{j}" for j, v in enumerate((f"((42::UHUGEINT + {P1} + {P2}) % {M64})", f"((42::UHUGEINT + {P2}) % {M64})", "42::UHUGEINT", f"((42::UHUGEINT + {M64} - {P1}) % {M64})")))} FROM x1),
+x3 AS (SELECT *, CASE WHEN done > 0 THEN {_fold(f"(({_rot('v0', 1)} + {_rot('v1', 7)} + {_rot('v2', 12)} + {_rot('v3', 18)}) % {M64})", "[v0, v1, v2, v3]", f"({_xor('a', _round('0::UHUGEINT', 'x'))} * {P1} + {P4}) % {M64}")} ELSE 42::UHUGEINT + {P5} END + n::UHUGEINT AS w FROM x2),
+x4 AS (SELECT *, {_fold(f"(w % {M64})", f"list_transform(range(done, eights, 8), lambda x: {_lane(8)})", f"({_rot(_xor('a', _round('0::UHUGEINT', 'x')), 27)} * {P1} + {P4}) % {M64}")} AS w4 FROM x3),
+x5 AS (SELECT *, {_fold("w4", f"list_transform(range(eights, fours, 4), lambda x: {_lane(4)})", f"({_rot(_xor('a', f'(x * {P1} % {M64})'), 23)} * {P2} + {P3}) % {M64}")} AS w5 FROM x4),
+x6 AS (SELECT *, {_fold("w5", f"list_transform(range(fours, n), lambda x: {_lane(1)})", f"{_rot(_xor('a', f'(x * {P5} % {M64})'), 11)} * {P1} % {M64}")} AS w6 FROM x5),
+x7 AS (SELECT *, {_xor("w6", f"w6 // {1 << 33}::UHUGEINT")} * {P2} % {M64} AS w7 FROM x6), x8 AS (SELECT *, {_xor("w7", f"w7 // {1 << 29}::UHUGEINT")} * {P3} % {M64} AS w8 FROM x7),
+xxh AS (SELECT *, CAST({_xor("w8", f"w8 // {1 << 32}::UHUGEINT")} AS UBIGINT) AS hash FROM x8)"""
+
+OP7 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, row_number() OVER () AS r, {WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
+g AS (SELECT r, array_to_string(ws[i:i + 2], ' ') AS k FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM d WHERE len(ws) > 0)),
+x0 AS (SELECT k, hex(encode(k)) AS h, octet_length(encode(k)) AS n FROM (SELECT DISTINCT k FROM g)), {XXH64},
+b AS (SELECT r, count(*) AS n, {", ".join(f"sum((hash >> {i}) & 1) AS b{i}" for i in range(64))} FROM g JOIN xxh ON xxh.k = g.k GROUP BY 1),
+f AS (SELECT d.doc_id, coalesce(CAST({" + ".join(f"CASE WHEN 2 * b{i} > n THEN {1 << i}::UHUGEINT ELSE 0::UHUGEINT END" for i in range(64))} AS UBIGINT), 0::UBIGINT) AS fp FROM d LEFT JOIN b ON b.r = d.r),
+u AS (SELECT DISTINCT fp FROM f), l AS (SELECT a.fp AS p, b.fp AS q FROM u a JOIN u b ON a.fp <> b.fp AND bit_count(CAST(xor(a.fp, b.fp) AS HUGEINT)) <= 2),
+reach(p, q) AS (SELECT fp, fp FROM u UNION SELECT reach.p, l.q FROM reach JOIN l ON l.p = reach.q), low AS (SELECT reach.p, min(f.doc_id) AS c FROM reach JOIN f ON f.fp = reach.q GROUP BY 1)
+SELECT f.doc_id, lower(lpad(to_hex(f.fp), 16, '0')) AS fingerprint, low.c AS component_id FROM f JOIN low ON low.p = f.fp
+"""
+
 OP9 = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages), h AS (SELECT page_id, octet_length(body) AS n, sha1(body) AS sha FROM p),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY sha) AS first FROM h)
@@ -68,6 +127,8 @@ ORACLES = {
     "op2_url_verdicts": OP2,
     "op3_substring_dedup": OP3,
     "op4_embedding_near_dup": OP4,
+    "op6_rendezvous_shards": OP6,
+    "op7_simhash_components": OP7,
     "op9_warc_round_trip": OP9,
     "op10_mix_sources": OP10,
 }

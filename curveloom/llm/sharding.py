@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from curveloom.llm.common import Workspace, unit_hash
 
-#: Slots are numbered within this many hashed buckets of each shard, so no task sorts a whole shard.
-SLOT_BUCKETS = 1024
+#: Slots are numbered within hashed buckets of about so many distinct rows, so that no task sorts a whole shard.
+BUCKET_ROWS = 500_000
+#: Up to so many buckets per shard their offsets are broadcast.
+BROADCAST_BUCKETS = 10_000
 
 
 def rendezvous(key: Column, weights: Sequence[float], seed: int = 0) -> Column:
@@ -35,23 +37,26 @@ def shard_documents(docs: DataFrame, key: str = "doc_id", weights: Sequence[floa
     return docs.withColumn(name, rendezvous(F.col(key), weights, seed))
 
 
-def number_slots(ws: Workspace, df: DataFrame, shard: str, order: Sequence[str], *, buckets: int = SLOT_BUCKETS) -> DataFrame:
+def number_slots(ws: Workspace, df: DataFrame, shard: str, order: Sequence[str], *, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """df with a bigint `slot`, gapless from 0 in each shard.
 
-    Rows are numbered inside hashed buckets; the buckets' counts, at most shards x buckets rows, give each bucket's offset.
-    Ties (equal in all of `order`) get neighbouring slots in any order.
+    Equal rows are counted first and travel as one, so a row that repeats without end fills no task. Distinct rows are numbered
+    inside hashed buckets, by `order`; the buckets' sums give each bucket's offset. The same rows get the same slots at every
+    run: ties in `order` are broken by the other columns, and equal rows get neighbouring slots.
     """
-    rows = ws.stage(df.withColumn("__b", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int")), "slots")
-    counts = rows.groupBy(F.col(shard).alias("__s"), F.col("__b").alias("__c")).count()
+    rest = [c for c in df.columns if c not in order and c != shard]
+    rows = ws.stage(df.groupBy(*df.columns).agg(F.count("*").alias("__n")), "slots")
+    buckets = max(1, -(-rows.count() // bucket_rows))
+    rows = rows.withColumn("__b", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    sums = rows.groupBy(F.col(shard).alias("__s"), F.col("__b").alias("__c")).agg(F.sum("__n").alias("__sum"))
     before = W.partitionBy("__s").orderBy("__c").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select("__s", "__c", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__offset"))
-    inside = F.row_number().over(W.partitionBy(shard, "__b").orderBy(*order)) - 1
-    numbered = rows.withColumn("__i", inside)
-    return (
-        numbered.join(F.broadcast(offsets), (F.col(shard) == F.col("__s")) & (F.col("__b") == F.col("__c")))
-        .withColumn("slot", (F.col("__offset") + F.col("__i")).cast("bigint"))
-        .drop("__b", "__c", "__s", "__i", "__offset")
-    )
+    offsets = sums.select("__s", "__c", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__offset"))
+    inside = W.partitionBy(shard, "__b").orderBy(*order, *rest).rowsBetween(W.unboundedPreceding, -1)
+    numbered = rows.withColumn("__i", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
+    offsets = F.broadcast(offsets) if buckets <= BROADCAST_BUCKETS else offsets
+    placed = numbered.join(offsets, (F.col(shard) == F.col("__s")) & (F.col("__b") == F.col("__c")))
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n") - 1)).alias("__k")
+    return placed.select(*df.columns, "__offset", "__i", copies).select(*df.columns, (F.col("__offset") + F.col("__i") + F.col("__k")).cast("bigint").alias("slot"))
 
 
 def shard_digest(docs: DataFrame, n: int = 8) -> DataFrame:
