@@ -34,10 +34,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"curveloom {args.command}").getOrCreate()
     if args.command == "sid":
         out = curves.compare_curves(io.read_spectra(spark, args.truth), io.read_xy(spark, args.digitized), ["curve"], args.shift, args.epsilon)
-        rows = out.orderBy("curve").collect()
-        for r in rows:
+        n = 0
+        for r in out.orderBy("curve").toLocalIterator():
             print(f"{r.curve}\t{r.n}\t{r.forward}\t{r.reverse}\t{r.divergence}")
-        return 0 if rows else 2
+            n += 1
+        return 0 if n else 2
     if args.command == "normalize":
         points = io.read_spectra(spark, args.spectra, args.x, args.y)
         for bound, test in ((args.x_min, ">="), (args.x_max, "<=")):

@@ -204,18 +204,30 @@ def compare_curves(truth: DataFrame, other: DataFrame, curve: Sequence[str], shi
     return spectral_divergence(inside.join(read.withColumnRenamed("y", "q"), [*curve, "x"]), curve, eps=eps)
 
 
-def overlap_share(members: DataFrame, group: str, item: str, within: DataFrame | None = None) -> DataFrame:
-    """a, b, shared, total, jaccard of the distinct items of every two groups that share one.
+def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """df with a broadcast hint if it has no more than so many rows, which are counted."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def full_grid(points: DataFrame, curve: Sequence[str], x: str = "x") -> DataFrame:
+    """Every curve at every distinct x of all curves."""
+    return points.select(*curve).distinct().crossJoin(broadcast_if_small(points.select(x).distinct()))
+
+
+def overlap_share(members: DataFrame, group: str, item: str, within: Sequence[str] = ()) -> DataFrame:
+    """a, b, shared, total, jaccard of the distinct items of every two groups that share one, inside each of `within` (a picture's
+    masks, say), whose columns come first.
 
     Pairs come from a self-join on the item, so groups without a common item are not paired.
     """
-    rows = members.select(group, item).distinct()
-    sizes = rows.groupBy(group).agg(F.count("*").alias("n"))
-    left, right = rows.select(F.col(group).alias("a"), item), rows.select(F.col(group).alias("b"), item)
-    both = left.join(right, item).where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
-    sized = both.join(sizes.select(F.col(group).alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col(group).alias("b"), F.col("n").alias("nb")), "b")
+    rows = members.select(*within, group, item).distinct()
+    sizes = rows.groupBy(*within, group).agg(F.count("*").alias("n"))
+    left, right = rows.select(*within, F.col(group).alias("a"), item), rows.select(*within, F.col(group).alias("b"), item)
+    both = left.join(right, [*within, item]).where("a < b").groupBy(*within, "a", "b").agg(F.count("*").alias("shared"))
+    for side, n in (("a", "na"), ("b", "nb")):
+        both = both.join(sizes.select(*within, F.col(group).alias(side), F.col("n").alias(n)), [*within, side])
     total = F.col("na") + F.col("nb") - F.col("shared")
-    return sized.select("a", "b", "shared", total.alias("total"), (F.col("shared") / total).alias("jaccard"))
+    return both.select(*within, "a", "b", "shared", total.alias("total"), (F.col("shared") / total).alias("jaccard"))
 
 
 def affine(c: Column, source: tuple[Column, Column], target: tuple[Column, Column]) -> Column:

@@ -47,18 +47,37 @@ def link_figures(figures: DataFrame, paragraphs: DataFrame, reach: int = lx.CONT
 
 
 def _selected(figures: DataFrame, paragraphs: DataFrame) -> DataFrame:
-    """doc_id, figure, at, text, mention: sentences that cite the figure, and other paragraphs that are relevant to it."""
+    """doc_id, figure, at, text, mention: sentences that cite the figure, and other paragraphs that are relevant to it.
+
+    Figures meet paragraphs by label, by id and by section, never all of a document; texts join the pairs that are left.
+    """
     f = figures.where("normalized_label is not null").select("doc_id", F.col("ordinal").alias("figure"), F.col("normalized_label").alias("ref"), "referenced_by", "context")
-    p = paragraphs.select("doc_id", F.col("ordinal").alias("at"), "paragraph_id", "text", "section_path", "section_type", "figure_references", "score")
-    both = f.join(p, "doc_id")
-    cites = F.array_contains("figure_references", F.col("ref"))
-    mention = F.when(cites, X.mention_text(F.col("text"), F.col("ref")))
-    rows = both.withColumn("mention", mention).withColumn("anchor", F.array_contains("referenced_by", F.col("paragraph_id")))
-    homes = F.collect_set(F.when(F.col("anchor"), F.col("section_path"))).over(W.partitionBy("doc_id", "figure"))
-    rows = rows.withColumn("same", F.array_contains(homes, F.col("section_path")))
-    near = F.array_contains("context", F.col("paragraph_id")) & (F.col("score") >= lx.WINDOW_SCORE) & (F.col("same") | F.col("section_type").isin("results", "methods"))
-    relevant = ~F.col("anchor") & ((F.size("figure_references") == 0) | cites) & ((F.col("same") & (F.col("score") >= lx.SECTION_SCORE)) | near)
-    return rows.where(F.col("mention").isNotNull() | relevant).select("doc_id", "figure", "at", F.coalesce("mention", "text").alias("text"), F.col("mention").isNotNull().alias("mention"))
+    p = paragraphs.select("doc_id", F.col("ordinal").alias("at"), "paragraph_id", "section_path", "section_type", "figure_references", "score")
+    pair = ["doc_id", "figure", "at"]
+
+    def by_id(column: str) -> DataFrame:
+        named = f.select("doc_id", "figure", F.explode(column).alias("paragraph_id")).distinct()
+        return named.join(p.select("doc_id", "at", "paragraph_id", "section_path"), ["doc_id", "paragraph_id"])
+
+    anchors = by_id("referenced_by")
+    found = {
+        "cites": p.select("doc_id", "at", F.explode(F.array_distinct("figure_references")).alias("ref")).join(f.select("doc_id", "figure", "ref"), ["doc_id", "ref"]),
+        "anchor": anchors,
+        "same": anchors.select("doc_id", "figure", "section_path").distinct().join(p.select("doc_id", "at", "section_path"), ["doc_id", "section_path"]),
+        "near": by_id("context"),
+    }
+    pairs = None
+    for how, rows in found.items():
+        marked = rows.select(*pair, *[F.lit(how == k).alias(k) for k in found])
+        pairs = marked if pairs is None else pairs.unionByName(marked)
+    pairs = pairs.groupBy(*pair).agg(*[F.max(k).alias(k) for k in found])
+    judged = pairs.join(p.select("doc_id", "at", "section_type", F.size("figure_references").alias("n_refs"), "score"), ["doc_id", "at"])
+    near = F.col("near") & (F.col("score") >= lx.WINDOW_SCORE) & (F.col("same") | F.col("section_type").isin("results", "methods"))
+    relevant = ~F.col("anchor") & ((F.col("n_refs") == 0) | F.col("cites")) & ((F.col("same") & (F.col("score") >= lx.SECTION_SCORE)) | near)
+    kept = judged.withColumn("relevant", F.coalesce(relevant, F.lit(False))).where("cites or relevant")
+    rows = kept.join(paragraphs.select("doc_id", F.col("ordinal").alias("at"), "text"), ["doc_id", "at"]).join(f.select("doc_id", "figure", "ref"), ["doc_id", "figure"])
+    rows = rows.withColumn("mention", F.when(F.col("cites"), X.mention_text(F.col("text"), F.col("ref"))))
+    return rows.where("mention is not null or relevant").select(*pair, F.coalesce("mention", "text").alias("text"), F.col("mention").isNotNull().alias("mention"))
 
 
 def analysis_texts(figures: DataFrame, paragraphs: DataFrame) -> DataFrame:

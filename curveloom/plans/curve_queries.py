@@ -90,8 +90,7 @@ round(CASE WHEN lx IS NULL OR rx IS NULL THEN NULL WHEN lx = l.x THEN ly ELSE ly
 FROM l JOIN r ON l.curve = r.curve AND l.x = r.x""")
 def interpolate_daily(spark, sf_dir):
     p = user_points(spark, sf_dir)
-    days = p.select(F.floor("x").cast("double").alias("x")).distinct()
-    grid = p.select("curve").distinct().crossJoin(F.broadcast(days))
+    grid = C.full_grid(p.select("curve", F.floor("x").cast("double").alias("x")), ["curve"])
     knots = p.groupBy("curve", "x").agg(F.min("y").alias("y"))
     inside = C.interpolate(grid, knots, ["curve"], outside="null").withColumnRenamed("y", "y_inside")
     return _rounded(C.interpolate(grid, knots, ["curve"]).join(inside, ["curve", "x"]), "y", "y_inside")
@@ -151,7 +150,7 @@ WINDOW b AS (PARTITION BY curve ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND
 SELECT curve, x, round(CASE WHEN y IS NOT NULL THEN y WHEN ri - li - 1 <= 2 THEN ly + (ry - ly) * (i - li) / (ri - li) END, 6) AS y FROM n""")
 def fill_short_gaps(spark, sf_dir):
     d = user_points(spark, sf_dir).groupBy("curve", F.floor("x").cast("double").alias("x")).agg(F.avg("y").alias("y"))
-    grid = d.select("curve").distinct().crossJoin(F.broadcast(d.select("x").distinct()))
+    grid = C.full_grid(d, ["curve"])
     return _rounded(C.fill_short_gaps(grid.join(d, ["curve", "x"], "left"), ["curve"], 2), "y")
 
 
@@ -174,12 +173,14 @@ def gaussian_reconstruction(spark, sf_dir):
     return _rounded(C.gaussian_sum(peaks, grid, ["curve"]), "y", places=4)
 
 
-@query("active_day_overlap", f"""WITH m AS (SELECT DISTINCT user_id AS u, floor(epoch_us(ts) / 86400000000.0) AS d FROM events), s AS (SELECT u, count(*) AS n FROM m GROUP BY 1),
-b AS (SELECT l.u AS a, r.u AS b, count(*) AS shared FROM m l JOIN m r ON l.d = r.d AND l.u < r.u GROUP BY 1, 2)
-SELECT b.a, b.b, shared, x.n + y.n - shared AS total, round(shared / (x.n + y.n - shared), 6) AS jaccard FROM b JOIN s x ON x.u = b.a JOIN s y ON y.u = b.b""")
+@query("active_day_overlap", f"""WITH m AS (SELECT DISTINCT user_id // 15 AS team, user_id AS u, floor(epoch_us(ts) / 86400000000.0) AS d FROM events), s AS (SELECT u, count(*) AS n FROM m GROUP BY 1),
+b AS (SELECT l.team, l.u AS a, r.u AS b, count(*) AS shared FROM m l JOIN m r ON l.team = r.team AND l.d = r.d AND l.u < r.u GROUP BY 1, 2, 3)
+SELECT b.team, b.a, b.b, shared, x.n + y.n - shared AS total, round(shared / (x.n + y.n - shared), 6) AS jaccard FROM b JOIN s x ON x.u = b.a JOIN s y ON y.u = b.b""")
 def active_day_overlap(spark, sf_dir):
-    m = table(spark, sf_dir, "events").select("user_id", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(86400000000.0)).alias("d"))
-    return _rounded(C.overlap_share(m, "user_id", "d"), "jaccard")
+    """Common active days of any two users of a team of 15, as of any two masks of a picture."""
+    day = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(86400000000.0))
+    m = table(spark, sf_dir, "events").select(F.expr("user_id div 15").alias("team"), "user_id", day.alias("d"))
+    return _rounded(C.overlap_share(m, "user_id", "d", ["team"]), "jaccard")
 
 
 @query("path_quality", f"""WITH p AS ({USER_POINTS}), days AS (SELECT DISTINCT floor(x) AS x FROM p), d AS (SELECT curve, floor(x) AS x, avg(y) AS y FROM p GROUP BY 1, 2),
@@ -189,7 +190,7 @@ SELECT curve, round(coverage, 6) AS coverage, round(span, 6) AS span, n_finite,
 coverage >= 0.35 AND span >= 0.06 AND n_finite >= 20 AS ok FROM q""")
 def path_quality(spark, sf_dir):
     d = user_points(spark, sf_dir).groupBy("curve", F.floor("x").cast("double").alias("x")).agg(F.avg("y").alias("y"))
-    grid = d.select("curve").distinct().crossJoin(F.broadcast(d.select("x").distinct()))
+    grid = C.full_grid(d, ["curve"])
     out = C.path_quality(grid.join(d, ["curve", "x"], "left"), ["curve"], F.lit(500.0))
     return out.withColumns({"coverage": F.round("coverage", 6), "span": F.round("span", 6), "score": F.round("score", 4)})
 
