@@ -24,7 +24,7 @@ from curveloom.llm.common import Workspace, partitions
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Bytes of payloads and headers that a writer takes on, and the compressed size at which it goes on in another file.
-SHARD_BYTES, ROLL_BYTES = 128 << 20, 16 << 20
+SHARD_BYTES, ROLL_BYTES = 64 << 20, 16 << 20
 #: What a record's headers are reckoned at when records are dealt to writers.
 HEAD_BYTES = 512
 #: Payloads of fewer bytes are never deduplicated.
@@ -159,9 +159,12 @@ def write_warc(pages: DataFrame, out: str, *, roll: int = ROLL_BYTES, least: int
     body = payload(F.col("html"))
     chosen = plan(ws, pages.select("page_id", link.alias("link"), F.sha1(body).alias("sha"), F.length(body).cast("bigint").alias("n")), least, shard_bytes)
     shards = (chosen.agg(F.max("shard")).first()[0] or 0) + 1
-    # Equal rows travel as one.
-    rows = packed(pages).withColumn("link", link).groupBy("page_id", "link", "sha").agg(F.any_value("url").alias("url"), F.any_value("body").alias("body"), F.any_value("n").alias("n"))
-    rows = rows.join(chosen, F.col("page_id").eqNullSafe(F.col("__id")) & (F.col("link") == F.col("__link")) & (F.col("sha") == F.col("__sha")))
+    # Equal rows travel as one. The keys have no nulls, so that the join takes the groups where they lie.
+    key = lambda c: F.coalesce(F.concat(F.lit("p"), F.col(c).cast("string")), F.lit(""))
+    rows = packed(pages).withColumn("link", link).groupBy(key("page_id").alias("key"), "link", "sha")
+    rows = rows.agg(*[F.any_value(c).alias(c) for c in ("page_id", "url", "body", "n")])
+    chosen = chosen.withColumn("__key", key("__id"))
+    rows = rows.join(chosen, (F.col("key") == F.col("__key")) & (F.col("link") == F.col("__link")) & (F.col("sha") == F.col("__sha")))
     rows = rows.select("shard", "page_id", "place", "copies", "refers_to", "refers_place", "url", "body", "n")
     rows = rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "place")
 
