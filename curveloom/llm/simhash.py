@@ -55,19 +55,35 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE, keep: str | None = None)
     return rows.mapInArrow(run, ", ".join([f"doc_id {kinds['doc_id']}", "fp bigint", *(f"{c} {kinds[c]}" for c in more)]))
 
 
+def _with_company(distinct: DataFrame, radius: int) -> DataFrame:
+    """The rows of distinct(fp, node) that agree with another one in two of radius + 2 blocks of the fingerprint's bits.
+
+    Fingerprints within the radius differ in that many blocks at most, so whoever has a neighbour there is among them. Six keys a
+    row at radius 2 are far less than its 65 variants, which those without company need not emit.
+    """
+    cuts = [64 * i // (radius + 2) for i in range(radius + 3)]
+    blocks = [F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << hi - lo) - 1)) for lo, hi in zip(cuts, cuts[1:])]
+    pairs = combinations(range(radius + 2), 2)
+    width = -(-64 // (radius + 2))
+    keys = F.array(*[F.lit(k << 2 * width) + F.shiftleft(blocks[i], width) + blocks[j] for k, (i, j) in enumerate(pairs)])
+    rows = distinct.select("fp", F.explode(keys).alias("key"))
+    shared = rows.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key")
+    return distinct.join(rows.join(shared, "key").select("fp").distinct(), "fp", "left_semi")
+
+
 def ball_edges(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Verified edges (u, v) between the nodes of distinct(fp, node) whose fingerprints differ in at most radius bits.
 
-    Every fingerprint emits all variants within half the radius, which is even; two fingerprints within the radius share one.
-    A variant's fingerprints all lie in its ball, so a group never holds more than 65 of them at radius 2 (2,081 at 4), whatever
-    the data, and any two of a group are within the radius: each is tied to the group's smallest node, which keeps all components
+    Every fingerprint that can have a neighbour emits all variants within half the radius, which is even; two fingerprints within
+    the radius share one. A variant's fingerprints all lie in its ball, so a group never holds more than 65 of them at radius 2
+    (2,081 at 4), whatever the data, and any two of a group are within the radius: each is tied to the group's smallest node, which keeps all components
     without emitting all pairs of a group.
     """
     if radius < 2 or radius % 2:
         raise ValueError("the radius has to be even, so that two balls of half of it meet")
     masks = [sum(1 << b for b in bits) for k in range(radius // 2 + 1) for bits in combinations(range(64), k)]
     flips = F.array(*[F.lit(np.uint64(m).astype(np.int64).item()) for m in masks])
-    variants = distinct.select("fp", "node", F.explode(F.transform(flips, lambda m: m.bitwiseXOR(F.col("fp")))).alias("variant"))
+    variants = _with_company(distinct, radius).select("fp", "node", F.explode(F.transform(flips, lambda m: m.bitwiseXOR(F.col("fp")))).alias("variant"))
     least = F.min(F.struct("node", "fp")).over(W.partitionBy("variant"))
     pairs = variants.withColumn("least", least).where(F.col("node") != F.col("least.node"))
     return (
