@@ -1,4 +1,5 @@
-"""Near-duplicate texts by five-word shingles: MinHash bands find candidates, exact Jaccard similarity decides."""
+"""Near-duplicate texts by five-word shingles: balls of SimHash fingerprints and MinHash bands find candidates, exact Jaccard
+similarity decides."""
 
 from __future__ import annotations
 
@@ -13,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from curveloom.llm.common import Workspace, connected_components
+from curveloom.llm.simhash import ball_edges, majority
 from curveloom.llm.wordhash import WordHasher, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -76,28 +78,29 @@ class Bands:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """id (doc_id, hash of the text), a, b (128 bits for the set of shingles), n, keys of every row of docs(doc_id, text)."""
+    """id (doc_id, hash of the text), a, b (128 bits for the set of shingles), n, keys, fp (SimHash of the set) of every row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, bands = WordHasher(31), Bands()
         for batch in batches:
-            a, b, n, keys = [], [], [], []
+            a, b, n, keys, fps = [], [], [], [], []
             for s in shingles(batch.column(1).cast(pa.binary()).to_pylist(), hasher):
                 a.append(s.sum(dtype=np.uint64))
                 b.append(mix(s ^ np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64))
                 n.append(len(s))
                 keys.append(bands(s))
+                fps.append(majority(s[lo : lo + BLOCK] for lo in range(0, len(s), BLOCK)))
             ends = np.arange(len(keys) + 1, dtype=np.int32) * BANDS
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (a, b, n)), lists, batch.column(2)],
-                ["doc_id", "a", "b", "n", "keys", "hash"],
+                [batch.column(0), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (a, b, n, fps)), lists, batch.column(2)],
+                ["doc_id", "a", "b", "n", "fp", "keys", "hash"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), _hash().alias("hash"))
-    rows = rows.mapInArrow(run, f"doc_id {kind}, a bigint, b bigint, n bigint, keys array<bigint>, hash bigint")
-    return rows.select(F.struct("doc_id", "hash").alias("id"), "a", "b", "n", "keys")
+    rows = rows.mapInArrow(run, f"doc_id {kind}, a bigint, b bigint, n bigint, fp bigint, keys array<bigint>, hash bigint")
+    return rows.select(F.struct("doc_id", "hash").alias("id"), "a", "b", "n", "fp", "keys")
 
 
 def _hash():
@@ -148,9 +151,10 @@ def _open_bands(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def similar_edges(ws: Workspace, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(u, v) that join what nodes(id, n, keys) share a band and have 80 % of their shingles in common.
+    """(u, v) that join what nodes(id, n, fp, keys) share a ball or a band and have 80 % of their shingles in common.
 
-    First each text of a band is compared with the one of it that shares most bands with others, which settles most bands: texts
+    Fingerprints within two bits meet in a ball as in simhash.ball_edges, which finds long texts with few changes; at 0.8 most
+    differ in 6 to 11 bits, so bands are the second key. What meets in either way is linked only if the shingles say so. First each text of a band is compared with the one of it that shares most bands with others, which settles most bands: texts
     of one class need no further comparison with each other. In the bands that still hold several classes up to LEADERS texts,
     the first of each class before others, are compared with all texts of other classes, and what stays unlike goes on to the next round with twice as many
     leaders of its own. So a large group of near copies gives a few pairs for each member, not the square of its size.
@@ -162,7 +166,8 @@ def similar_edges(ws: Workspace, nodes: DataFrame, docs: DataFrame) -> DataFrame
     met = shared.groupBy("id").agg((-F.sum("size")).alias("rank"))
     rows = ws.stage(shared.join(met, "id").select("key", "id", "n", "rank"), "bands")
     ws.drop(shared)
-    wanted = rows.select("id").distinct().select(F.col("id.doc_id").alias("__doc"), F.col("id.hash").alias("__hash"))
+    balls = ws.stage(ball_edges(nodes.select("fp", F.col("id").alias("node"))), "balls")
+    wanted = rows.select("id").unionByName(balls.select(F.explode(F.array("u", "v")).alias("id"))).distinct().select(F.col("id.doc_id").alias("__doc"), F.col("id.hash").alias("__hash"))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), _hash().alias("hash"))
     texts = texts.join(wanted, (F.col("doc_id") == F.col("__doc")) & (F.col("hash") == F.col("__hash")), "left_semi")
     sets = texts.groupBy(F.struct("doc_id", "hash").alias("id")).agg(F.any_value("text").alias("text"))
@@ -170,9 +175,10 @@ def similar_edges(ws: Workspace, nodes: DataFrame, docs: DataFrame) -> DataFrame
     near = F.least("n", "o") >= F.lit(SIMILARITY) * F.greatest("n", "o")
     lead = rows.groupBy("key").agg(F.min(F.struct("rank", "id", "n")).alias("least"))
     stars = rows.join(lead, "key").where(F.col("id") != F.col("least.id")).withColumn("o", F.col("least.n")).where(near)
-    pairs = ws.stage(stars.select(F.greatest("id", "least.id").alias("u"), F.least("id", "least.id").alias("v")).distinct(), "pairs")
+    pairs = stars.select(F.greatest("id", "least.id").alias("u"), F.least("id", "least.id").alias("v"))
+    pairs = ws.stage(pairs.unionByName(balls).distinct(), "pairs")
     edges = ws.stage(alike(pairs, sets), "alike")
-    ws.drop(pairs)
+    ws.drop(pairs, balls)
     ws.release()
     classes = _classes_of(ws, edges)
     left = ws.stage(_open_bands(rows, classes), "open")
@@ -207,14 +213,14 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """docs without near-duplicates: of every component of texts that have 80 % of their five-word shingles in common, the row of
     the smallest doc_id stays (one, if it repeats with the same text).
 
-    Texts are compared exactly once a band brings them together. Null, empty and blank texts have no shingles: they are copies
+    Texts are compared exactly once a ball of fingerprints or a band brings them together. Null, empty and blank texts have no shingles: they are copies
     of each other. Of fewer than five words all are one shingle. Long texts are read whole. Rows that share a doc_id with
     different texts are documents of their own; rows whose id is null are kept; all columns stay, whatever their names; an empty
     table gives no rows.
     """
     ws = Workspace(docs.sparkSession, "minhash")
     marked = ws.stage(signatures(docs.where("doc_id is not null")), "signatures")
-    nodes = ws.stage(marked.groupBy("a", "b", "n").agg(F.min("id").alias("id"), F.any_value("keys").alias("keys")), "nodes")
+    nodes = ws.stage(marked.groupBy("a", "b", "n").agg(F.min("id").alias("id"), F.any_value("keys").alias("keys"), F.any_value("fp").alias("fp")), "nodes")
     edges = similar_edges(ws, nodes.where("n > 0"), docs)
     keep = nodes.select("id")
     gone = connected_components(ws, edges).where("node <> component").select(F.col("node").alias("id"))

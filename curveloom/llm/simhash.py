@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -32,12 +32,17 @@ def fingerprint(text: bytes | None, width: int = SHINGLE) -> int:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     k = min(width, len(words))
-    hashed = xxhash.xxh64_intdigest
-    bits, n = np.zeros(64, np.int64), len(words) - k + 1
-    for at in range(0, n, BLOCK):
-        a, b = starts[at : min(n, at + BLOCK)].tolist(), ends[at + k - 1 : at + k - 1 + BLOCK].tolist()
-        h = np.array([hashed(joined[i:j], SEED) for i, j in zip(a, b)], "<u8")
-        bits += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    hashed, n = xxhash.xxh64_intdigest, len(words) - k + 1
+    places = ((starts[at : min(n, at + BLOCK)].tolist(), ends[at + k - 1 : at + k - 1 + BLOCK].tolist()) for at in range(0, n, BLOCK))
+    return majority(np.array([hashed(joined[i:j], SEED) for i, j in zip(a, b)], "<u8") for a, b in places)
+
+
+def majority(blocks: Iterable[np.ndarray]) -> int:
+    """The bits that are set in over half of the hashes of all blocks."""
+    bits, n = np.zeros(64, np.int64), 0
+    for h in blocks:
+        bits += np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        n += len(h)
     return int.from_bytes(np.packbits(2 * bits > n, bitorder="little").tobytes(), "little")
 
 
