@@ -10,7 +10,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from curveloom.llm.common import Workspace, connected_components
@@ -22,9 +21,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHINGLE, SIMILARITY = 5, 0.8
 #: Bands of so many least hashes: a pair at 0.8 has no band in common once in 16,000.
 BANDS, ROWS = 32, 6
-#: The texts of a band that holds several classes are compared with so many of them in the first round, the first of each class
-#: before others, and what is unlike all of these with twice as many in the next.
-LEADERS = 8
+#: A cell compares at most about so many texts of a band, and so many shingles, with as many others.
+TILE, CELL = 512, 1 << 21
+#: Shingles of a cell that are counted at once.
+COLUMNS = 1 << 12
 #: Shingles whose hashes are taken at once.
 BLOCK = 1 << 11
 #: Bytes of texts whose words are hashed at once.
@@ -144,20 +144,106 @@ def _classes_of(ws: Workspace, edges: DataFrame | None) -> DataFrame:
 
 
 def _open_bands(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """rows(key, id, n, rank) of the bands that hold more than one class, with `class` (a node without links is its own)."""
-    told = rows.join(classes, "id", "left").select("key", "id", "n", "rank", F.coalesce("class", "id").alias("class"))
+    """rows(key, id, n) of the bands that hold more than one class, with `class` (a node without links is its own)."""
+    told = rows.join(classes, "id", "left").select("key", "id", "n", F.coalesce("class", "id").alias("class"))
     several = told.groupBy("key").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("key")
     return told.join(several, "key", "left_semi")
 
 
+def _cells(told: DataFrame) -> DataFrame:
+    """told(key, id, n, class) dealt to cells (key, i, j), side, so that any two texts of a band and unlike classes meet in one.
+
+    A small band is one cell. In others the texts outside the band's largest class are dealt to tiles by hash, which meet each
+    other and the tiles of the largest class; its own texts need not meet. In a cell of two tiles, side tells them apart.
+    """
+    sizes = told.groupBy("key", "class").agg(F.count("*").alias("c"), F.max("n").alias("most"))
+    sizes = sizes.groupBy("key").agg(F.sum("c").alias("all"), F.max("most").alias("most"), F.max(F.struct("c", "class")).alias("main"))
+    tile = F.least(F.lit(TILE), F.greatest(F.lit(1), F.floor(F.lit(CELL) / F.col("most"))))
+    sizes = sizes.select("key", "all", tile.alias("tile"), F.col("main.c").alias("mains"), F.col("main.class").alias("main"))
+    sizes = sizes.select("key", "main", (F.col("all") <= F.col("tile")).alias("small"), *[F.ceil(x / F.col("tile")).alias(name) for x, name in ((F.col("all") - F.col("mains"), "tr"), (F.col("mains"), "tm"))])
+    cell = lambda i, j, side: F.struct(i.cast("bigint").alias("i"), j.cast("bigint").alias("j"), side.cast("int").alias("side"))
+    rows = told.join(sizes, "key")
+    rest, at = F.col("class") != F.col("main"), F.col("at")
+    rows = rows.withColumn("at", F.pmod(F.xxhash64("id"), F.when(rest, F.col("tr")).otherwise(F.col("tm"))))
+    met = lambda j: F.when(j < F.col("tr"), cell(F.least(at, j), F.greatest(at, j), at > j)).otherwise(cell(at, j, F.lit(0)))
+    mine = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("tr") + F.col("tm") - 1), met)
+    theirs = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("tr") - 1), lambda i: cell(i, F.col("tr") + at, F.lit(1)))
+    places = F.when(F.col("small"), F.array(cell(F.lit(0), F.lit(0), F.lit(0)))).when(rest, mine).otherwise(theirs)
+    return rows.select("key", "id", "class", F.explode(places).alias("cell")).select("key", "cell.*", "id", "class")
+
+
+def _common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many members the sets numbered x have in common with those numbered y."""
+    values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    new = np.concatenate(([True], values[1:] != values[:-1]))
+    column = np.cumsum(new) - 1
+    several = np.bincount(column)[column] > 1
+    owner, column = owner[several], (np.cumsum(new & several) - 1)[several]
+    out = np.zeros((len(x), len(y)), np.float32)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (lo, lo + COLUMNS))
+        there = np.zeros((len(sets), min(COLUMNS, int(column[b - 1]) - lo + 1)), np.float32)
+        there[owner[a:b], column[a:b] - lo] = 1
+        out += there[x] @ there[y].T
+    return out
+
+
+def _joining(sets: list[np.ndarray], classes: list, side: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of sets that are alike and join all classes of the cell that such pairs join; fewer than there are classes."""
+    numbers: dict = {}
+    of = np.array([numbers.setdefault(c, len(numbers)) for c in classes])
+    x, y = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if 0 < side.sum() < len(side) else (np.arange(len(sets)),) * 2
+    n = np.array([len(s) for s in sets], float)
+    common = _common(sets, x, y).astype(float)
+    fine = common >= SIMILARITY * (n[x][:, None] + n[y][None, :] - common)
+    rows, columns = np.nonzero(fine & (of[x][:, None] != of[y][None, :]))
+    u, v = x[rows], y[columns]
+    first = np.unique(np.minimum(of[u], of[v]) * len(numbers) + np.maximum(of[u], of[v]), return_index=True)[1]
+    root, out = list(range(len(numbers))), []
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    for k in first.tolist():
+        c, d = find(int(of[u[k]])), find(int(of[v[k]]))
+        if c != d:
+            root[c] = d
+            out.append((int(u[k]), int(v[k])))
+    return out
+
+
+def alike_in_bands(told: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v), alike, that join the classes of told(key, id, n, class) of which two texts share a band and 80 % of their shingles.
+
+    All texts of a band are compared exactly with all of other classes, in cells of a bounded size, and a cell gives fewer pairs
+    than it has classes. So the work on a band grows with the square of the texts that stay unlike, as it must, though
+    never in one task and without pairs between tasks.
+    """
+
+    def run(cell: pa.Table) -> pa.Table:
+        ids = cell.column("id").combine_chunks()
+        packed = [np.frombuffer(s, np.uint64) for s in cell.column("set").to_pylist()]
+        classes = [tuple(c.values()) for c in cell.column("class").to_pylist()]
+        pairs = np.array(_joining(packed, classes, cell.column("side").to_numpy()), np.int64).reshape(-1, 2)
+        return pa.table({"u": ids.take(pa.array(pairs[:, 0])), "v": ids.take(pa.array(pairs[:, 1]))})
+
+    kind = dict(told.dtypes)["id"]
+    rows = _cells(told).join(sets, "id").select("key", "i", "j", "side", "id", "class", "set")
+    return rows.groupBy("key", "i", "j").applyInArrow(run, f"u {kind}, v {kind}")
+
+
 def similar_edges(ws: Workspace, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(u, v) that join what nodes(id, n, fp, keys) share a ball or a band and have 80 % of their shingles in common.
 
     Fingerprints within two bits meet in a ball as in simhash.ball_edges, which finds long texts with few changes; at 0.8 most
-    differ in 6 to 11 bits, so bands are the second key. What meets in either way is linked only if the shingles say so. First each text of a band is compared with the one of it that shares most bands with others, which settles most bands: texts
-    of one class need no further comparison with each other. In the bands that still hold several classes up to LEADERS texts,
-    the first of each class before others, are compared with all texts of other classes, and what stays unlike goes on to the next round with twice as many
-    leaders of its own. So a large group of near copies gives a few pairs for each member, not the square of its size.
+    differ in 6 to 11 bits, so bands are the second key. What meets in either way is linked only if the shingles say so. First each
+    text of a band is compared with the one of it that shares most bands with others, which settles most bands: texts of one
+    class need no further comparison with each other. In the bands that still hold several classes all texts of unlike classes
+    are compared.
     """
     rows = nodes.select("id", "n", F.explode("keys").alias("key"))
     shared = rows.join(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key")
@@ -180,33 +266,12 @@ def similar_edges(ws: Workspace, nodes: DataFrame, docs: DataFrame) -> DataFrame
     edges = ws.stage(alike(pairs, sets), "alike")
     ws.drop(pairs, balls)
     ws.release()
-    classes = _classes_of(ws, edges)
-    left = ws.stage(_open_bands(rows, classes), "open")
+    left = ws.stage(_open_bands(rows, _classes_of(ws, edges)), "open")
     ws.drop(rows)
-    head = F.row_number().over(W.partitionBy("key", "class").orderBy("rank", "id"))
-    first, most = F.row_number().over(W.partitionBy("key").orderBy("head", "rank", "id")), LEADERS
-    while left.limit(1).count():
-        led = left.withColumn("head", head).where(F.col("head") <= most).withColumn("at", first).where(F.col("at") <= most)
-        most *= 2
-        led = ws.stage(led.select("key", F.col("id").alias("v"), F.col("n").alias("o"), F.col("class").alias("its")), "leaders")
-        met = left.join(led, "key").where((F.col("class") != F.col("its")) & near)
-        pairs = met.select(F.greatest("id", "v").alias("u"), F.least("id", "v").alias("v")).distinct()
-        pairs = ws.stage(pairs.join(edges, ["u", "v"], "left_anti"), "pairs")
-        found = ws.stage(alike(pairs, sets), "alike")
-        if found.limit(1).count():
-            edges = ws.stage(edges.unionByName(found), "edges")
-            classes = _classes_of(ws, edges)
-        # What has been a leader, or now is in a leader's class, is settled in that band.
-        heads = led.select("key", "v").join(classes.withColumnRenamed("id", "v"), "v", "left").select("key", F.coalesce("class", "v").alias("class")).distinct()
-        rest = left.drop("class").join(led.select("key", F.col("v").alias("id")), ["key", "id"], "left_anti")
-        rest = rest.join(classes, "id", "left").select("key", "id", "n", "rank", F.coalesce("class", "id").alias("class"))
-        rest = rest.join(heads, ["key", "class"], "left_anti").select("key", "id", "n", "rank", "class")
-        several = rest.groupBy("key").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("key")
-        rest = ws.stage(rest.join(several, "key", "left_semi"), "open")
-        ws.drop(led, pairs, found, left)
-        ws.release()
-        left = rest
-    return edges
+    found = ws.stage(alike_in_bands(left, sets), "found")
+    ws.drop(left)
+    ws.release()
+    return edges.unionByName(found)
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
