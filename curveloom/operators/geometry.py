@@ -34,8 +34,11 @@ def distinct_rects(rects: DataFrame, group: Sequence[str]) -> DataFrame:
 
 
 def bands(rects: DataFrame, group: Sequence[str], gap: float | Column = BAND_GAP, start: str = "y0", end: str = "y1") -> DataFrame:
-    """rects with `band`, from 0 downwards: a new one begins more than `gap` below everything above it."""
-    w = W.partitionBy(*group).orderBy(start, end)
+    """rects with `band`, from 0 downwards: a new one begins more than `gap` below everything above it.
+
+    Equal rectangles share a band; those without a start come last and join the last band.
+    """
+    w = W.partitionBy(*group).orderBy(F.asc_nulls_last(start), F.asc_nulls_last(end))
     reach = F.max(end).over(w.rowsBetween(W.unboundedPreceding, -1))
     flag = F.when(F.col(start) > reach + gap, 1).otherwise(0)
     return rects.withColumn("__new", flag).withColumn("band", F.sum("__new").over(w)).drop("__new")
