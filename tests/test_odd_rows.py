@@ -30,3 +30,19 @@ def test_orders_without_a_date(spark, tmp_path):
     rows = [(1, 7, day(0)), (2, 7, None), (3, 7, day(200)), (4, 7, day(200)), (5, None, None), (6, None, day(3)), (7, 8, None)]
     spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
     assert len(agree(spark, tmp_path, "order_bands")) == 4
+
+
+def test_groups_are_not_joined_through_the_driver(spark, small):
+    """Files of 5 MB held 1.2 million parts, which filled the driver as broadcasts."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    assert registry.QUERIES["best_part_per_name_or_brand"](spark, small).count()
+    runs = store.executionsList(before, 1000)
+    plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
+    assert any("SortMergeJoin" in p for p in plans) and not any("BroadcastExchange" in p for p in plans)
+
+
+def test_parts_without_a_size_or_brand(spark, tmp_path):
+    rows = [(1, "a", "x", "t", None, 5.0), (2, "a", "x", "u", None, 9.0), (3, "a", None, "t", 1, 1.0), (4, "a", None, "t", 1, 2.0), (5, "a", "x", "t", 3, 7.0), (6, "a", "x", "v", 3, None)]
+    spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    assert agree(spark, tmp_path, "best_part_per_name_or_brand") == [(2, 9.0), (3, 1.0), (4, 2.0), (5, 7.0)]
