@@ -87,18 +87,27 @@ def stable_id(prefix: str, *parts: Column) -> Column:
 def text_from_positions(index: Column) -> Column:
     """The text of an inverted index map<word, array<int>>, words by position; those of one position in the map's order."""
     placed = F.flatten(F.transform(F.map_entries(index), lambda e: F.transform(e["value"], lambda p: F.struct(p.alias("p"), e["key"].alias("w")))))
-    return F.coalesce(F.array_join(F.transform(F.array_sort(placed, lambda a, b: F.signum((a["p"] - b["p"]).cast("double")).cast("int")), lambda x: x["w"]), " "), F.lit(""))
+    ordered = F.sort_array(F.transform(placed, lambda x, i: F.struct(x["p"].alias("p"), i.alias("i"), x["w"].alias("w"))))
+    return F.coalesce(F.array_join(F.transform(ordered, lambda x: x["w"]), " "), F.lit(""))
 
 
 def positions_from_text(c: Column) -> Column:
-    """Inverse of text_from_positions for a text of single-spaced words."""
-    words = F.split(c, " ")
-    return F.map_from_entries(
-        F.transform(
-            F.array_distinct(words),
-            lambda w: F.struct(w, F.filter(F.transform(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.when(F.get(words, i) == w, i)), lambda p: p.isNotNull())),
-        )
-    )
+    """Inverse of text_from_positions for a text of single-spaced words; null for null.
+
+    The words of a row are sorted once and cut into runs of equal ones, so nothing is shuffled and a long text is not searched for each word.
+    """
+    placed = F.sort_array(F.transform(F.split(c, " "), lambda w, i: F.struct(w.alias("w"), i.alias("p"))))
+
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i)["w"] != F.get(s, i - 1)["w"]))
+
+        def entry(at: Column, b: Column, k: Column) -> Column:
+            own = F.slice(s, b + 1, F.coalesce(F.get(at, k + 1), F.size(s)) - b)
+            return F.struct(F.get(s, b)["w"].alias("key"), F.transform(own, lambda x: x["p"]).alias("value"))
+
+        return let(starts, lambda at: F.transform(at, lambda b, k: entry(at, b, k)))
+
+    return F.when(c.isNotNull(), F.map_from_entries(let(placed, runs)))
 
 
 def contains_any(c: Column, phrases: Iterable[str]) -> Column:

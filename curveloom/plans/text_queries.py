@@ -63,9 +63,9 @@ def page_url_parts(spark, sf_dir):
 
 @query("inverted_index_round_trip", """SELECT doc_id, md5(text) AS text_md5, len(list_distinct(string_split(text, ' '))) AS words FROM documents""")
 def inverted_index_round_trip(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("p", "w"))
-    index = docs.groupBy("doc_id", "w").agg(F.sort_array(F.collect_list("p")).alias("ps")).groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("w", "ps"))).alias("ix"))
-    return index.select("doc_id", F.md5(X.text_from_positions(F.col("ix"))).alias("text_md5"), F.size("ix").cast("bigint").alias("words"))
+    index = table(spark, sf_dir, "documents").select("doc_id", X.positions_from_text(F.col("text")).alias("ix"))
+    known = F.col("ix").isNotNull()
+    return index.select("doc_id", F.when(known, F.md5(X.text_from_positions(F.col("ix")))).alias("text_md5"), F.when(known, F.size("ix").cast("bigint")).alias("words"))
 
 
 def _terms_sql(x: str, weights) -> str:

@@ -46,3 +46,11 @@ def test_parts_without_a_size_or_brand(spark, tmp_path):
     rows = [(1, "a", "x", "t", None, 5.0), (2, "a", "x", "u", None, 9.0), (3, "a", None, "t", 1, 1.0), (4, "a", None, "t", 1, 2.0), (5, "a", "x", "t", 3, 7.0), (6, "a", "x", "v", 3, None)]
     spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
     assert agree(spark, tmp_path, "best_part_per_name_or_brand") == [(2, 9.0), (3, 1.0), (4, 2.0), (5, 7.0)]
+
+
+def test_index_of_each_text_in_its_row(spark, tmp_path):
+    rows = [(1, "b a b  a c "), (2, ""), (3, None), (4, " "), (5, "x"), (5, "x y x"), (None, "é e é"), (6, " ".join(str(i % 977) for i in range(20_000)))]
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    assert len(agree(spark, tmp_path, "inverted_index_round_trip")) == len(rows)
+    plan = registry.QUERIES["inverted_index_round_trip"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
