@@ -236,6 +236,17 @@ def affine(c: Column, source: tuple[Column, Column], target: tuple[Column, Colum
     return F.when(F.abs(b - a) < 1e-12, t0).otherwise(t0 + (c - a) / (b - a) * (t1 - t0))
 
 
+def mean_in_order(rows: DataFrame, group: Sequence[str], order: str, y: str = "y") -> DataFrame:
+    """The mean of each group with its values added one by one in the given order, so that no bit depends on how rows are dealt to tasks.
+
+    A running sum over sorted rows, of which the last is taken; a group is never held as a list.
+    """
+    w = over(group).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    running = rows.select(*group, F.row_number().over(over(group).orderBy(order)).alias("__i"), F.sum(y).over(w).alias("__s"), F.count(y).over(w).alias("__n"))
+    last = running.groupBy(*group).agg(F.max_by(F.struct("__s", "__n"), "__i").alias("__l"))
+    return last.select(*group, (F.col("__l.__s") / F.nullif(F.col("__l.__n"), F.lit(0))).alias(y))
+
+
 def path_quality(path: DataFrame, curve: Sequence[str], height: Column, y: str = "y") -> DataFrame:
     """coverage (share of columns with a row), span (their range over the height), finite and distinct rows, score and ok."""
     n = F.count(y)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from curveloom.operators import curves as C
 from curveloom.plans.registry import query
-from curveloom.plans.tables import DAILY_POINTS, USER_POINTS, daily_points, table, user_points
+from curveloom.plans.tables import DAILY_POINTS, USER_POINTS, daily_points, day, table, user_points
 
 SID_SQL = """
 sums AS (SELECT {k}, p, q, p / sum(p) OVER w AS p1, q / sum(q) OVER w AS q1 FROM pairs WINDOW w AS (PARTITION BY {k})),
@@ -20,6 +20,12 @@ def _rounded(df, *names, places=6):
     return df.withColumns({c: F.round(c, places) for c in names})
 
 
+def _daily_means(spark, sf_dir):
+    """curve, x (whole day), y of the users' events; means near a half round by the last bit of their sum."""
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("curve"), F.floor(day("ts")).cast("double").alias("x"), "event_id", F.col("value").alias("y"))
+    return C.mean_in_order(e, ["curve", "x"], "event_id")
+
+
 @query("sid_event_types", f"""WITH d AS ({DAILY_POINTS}),
 pairs AS (SELECT l.curve AS a, r.curve AS b, l.y AS p, r.y AS q FROM d l JOIN d r ON l.x = r.x AND l.curve < r.curve),
 {SID_SQL.format(k='a, b')} SELECT * FROM sid""")
@@ -149,7 +155,7 @@ n AS (SELECT *, last_value(k IGNORE NULLS) OVER b AS li, last_value(y IGNORE NUL
 WINDOW b AS (PARTITION BY curve ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), f AS (PARTITION BY curve ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
 SELECT curve, x, round(CASE WHEN y IS NOT NULL THEN y WHEN ri - li - 1 <= 2 THEN ly + (ry - ly) * (i - li) / (ri - li) END, 6) AS y FROM n""")
 def fill_short_gaps(spark, sf_dir):
-    d = user_points(spark, sf_dir).groupBy("curve", F.floor("x").cast("double").alias("x")).agg(F.avg("y").alias("y"))
+    d = _daily_means(spark, sf_dir)
     grid = C.full_grid(d, ["curve"])
     return _rounded(C.fill_short_gaps(grid.join(d, ["curve", "x"], "left"), ["curve"], 2), "y")
 
@@ -189,7 +195,7 @@ q AS (SELECT curve, count(y) / count(*) AS coverage, coalesce((max(y) - min(y))
 SELECT curve, round(coverage, 6) AS coverage, round(span, 6) AS span, n_finite, n_rows, round(CASE WHEN n_finite < 20 THEN -1 ELSE 100 * coverage + 80 * span + 0.2 * least(n_rows, 200) END, 4) AS score,
 coverage >= 0.35 AND span >= 0.06 AND n_finite >= 20 AS ok FROM q""")
 def path_quality(spark, sf_dir):
-    d = user_points(spark, sf_dir).groupBy("curve", F.floor("x").cast("double").alias("x")).agg(F.avg("y").alias("y"))
+    d = _daily_means(spark, sf_dir)
     grid = C.full_grid(d, ["curve"])
     out = C.path_quality(grid.join(d, ["curve", "x"], "left"), ["curve"], F.lit(500.0))
     return out.withColumns({"coverage": F.round("coverage", 6), "span": F.round("span", 6), "score": F.round("score", 4)})

@@ -3,6 +3,7 @@
 import datetime
 import os
 
+import numpy as np
 import pytest
 from conftest import rows_of
 
@@ -54,3 +55,28 @@ def test_index_of_each_text_in_its_row(spark, tmp_path):
     assert len(agree(spark, tmp_path, "inverted_index_round_trip")) == len(rows)
     plan = registry.QUERIES["inverted_index_round_trip"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_daily_means_add_up_in_order(spark, tmp_path):
+    """(a + b) + c and a + (b + c) lie on two sides of a half, and b and c in a file of their own."""
+    pa = pytest.importorskip("pyarrow")
+    from pyarrow import parquet
+
+    rng = np.random.default_rng(5)
+    found = []
+    while len(found) < 20:
+        a, b = (float(v) for v in rng.integers(1, 49_002, 2) / 100)
+        c = round(3 * (int(rng.integers(200, 300)) + 0.5) - a - b, 2)
+        one, two = np.rint(((a + b) + c) / 3), np.rint((a + (b + c)) / 3)
+        if c > 0 and one != two:
+            found.append((a, b, c, float(one)))
+    first, second = [], []
+    for u, (a, b, c, near) in enumerate(found):
+        first += [(4 * u, 1, u, a), (4 * u + 1, 2, u, near)]
+        second += [(1000 + 4 * u, 1, u, b), (1001 + 4 * u, 1, u, c)]
+    (tmp_path / "events.parquet").mkdir()
+    for name, rows in (("a", first), ("b", second)):
+        at = pa.array([datetime.datetime(2024, 1, d) for _, d, _, _ in rows], pa.timestamp("us"))
+        ids, users, values = ([r[i] for r in rows] for i in (0, 2, 3))
+        parquet.write_table(pa.table({"event_id": pa.array(ids, pa.int64()), "ts": at, "user_id": pa.array(users, pa.int64()), "value": values}), tmp_path / f"events.parquet/{name}.parquet")
+    assert len(agree(spark, tmp_path, "path_quality")) == 20
